@@ -27,6 +27,15 @@ def seeded_hash(key: str | Column, seed: int) -> Column:
     return (F.pmod(k, F.lit(ID_MODULUS)) * F.lit(HASH_MULTIPLIER) + F.lit(seed)) % F.lit(HASH_MODULUS)
 
 
+def seeded_hash_keys(keys, seed: int) -> Column:
+    """Chain ``seeded_hash`` over a composite integer key."""
+    h = None
+    for k in keys:
+        c = F.col(k) if isinstance(k, str) else k
+        h = seeded_hash(c if h is None else h + c, seed)
+    return h
+
+
 def hash_bucket(h: str | Column) -> Column:
     """Top 16 bits of a 32-bit hash: 65,536 buckets, monotone in the hash."""
     c = F.col(h) if isinstance(h, str) else h
