@@ -1,2 +1,115 @@
-"""Model queries (filled in below)."""
-MODEL_QUERIES = {}
+"""Registered model queries (rows-only checks: trained models have no SQL oracle).
+
+Each query builds client features from the whole loan table, splits clients
+with the exact stratified split, trains on the training part and scores the
+held-out part.  The client table is checkpointed to the shared checkpoint
+folder before the iterative trainers read it, so a lost executor re-reads
+parquet instead of recomputing the feature aggregate.
+
+The registered queries run fewer boosting rounds than the presets
+(``QUERY_TREES``); the presets keep the reference's values.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lendfeat.operators import models as M
+from lendfeat.operators import sampling as S
+from lendfeat.operators.clients import ClientFeatures
+from lendfeat.plans.queries import SEED, TEST_FRACTION
+from lendfeat.session import scratch_path
+from lendfeat.sources import readers as R
+from lendfeat.sources.loans import loans, targets
+
+# Fixed values of the registered model queries.
+QUERY_TREES = 20
+CV_TREES = 5
+TOP_IMPORTANCES = 20
+CV_FOLDS_GBT, CV_FOLDS_HGB = 4, 5
+CV_JOBS_GBT, CV_JOBS_HGB = 2, 4
+
+
+def _clients(spark: SparkSession, sf: str):
+    """(fitted feature model, labelled client table with split flag), checkpointed."""
+    lo = loans(spark, sf)
+    fm = ClientFeatures().fit(lo)
+    tg = targets(spark, sf).withColumnRenamed("flag", "target")
+    feats = fm.transform(lo).join(tg, "id", "inner")
+    marked = S.stratified_split(feats, "id", "target", TEST_FRACTION, SEED).checkpoint()
+    return fm, marked
+
+
+def _parts(marked: DataFrame):
+    return (marked.where(F.col("is_test") == 0).drop("is_test"),
+            marked.where(F.col("is_test") == 1).drop("is_test"))
+
+
+def q_gbt_scores(spark, sf):
+    fm, marked = _clients(spark, sf)
+    train, test = _parts(marked)
+    model = M.fit_classifier(M.balanced_weights(train, "target"), fm.getManifest(),
+                             M.gbt(M.LGBM_DEFAULT, maxIter=QUERY_TREES))
+    return M.scored(model, test)
+
+
+def q_cv_results(spark, sf):
+    fm, marked = _clients(spark, sf)
+    train, _ = _parts(marked)
+    names = fm.getManifest()
+    data = M.assembler(names).transform(M.balanced_weights(train, "target"))
+    est = M.gbt(M.LGBM_FINAL, maxIter=CV_TREES)
+    g1 = ParamGridBuilder().addGrid(est.maxDepth, [3, 5]).build()
+    r1 = M.cross_validate(spark, est, g1, S.folds(data, "id", "target", CV_FOLDS_GBT, SEED),
+                          "fold", CV_FOLDS_GBT, parallelism=CV_JOBS_GBT, name="gbt")
+    hgb = M.gbt(M.HGB_DEFAULT, maxIter=CV_TREES)
+    g2 = ParamGridBuilder().addGrid(hgb.minInstancesPerNode, [1, 20]).build()
+    r2 = M.cross_validate(spark, hgb, g2, S.folds(data, "id", "target", CV_FOLDS_HGB, SEED),
+                          "fold", CV_FOLDS_HGB, parallelism=CV_JOBS_HGB, name="hgb")
+    return M.rank_results(M.append_results(r1, r2))
+
+
+def q_importances(spark, sf):
+    fm, marked = _clients(spark, sf)
+    train, _ = _parts(marked)
+    model = M.fit_classifier(M.balanced_weights(train, "target"), fm.getManifest(),
+                             M.gbt(M.LGBM_DEFAULT, maxIter=QUERY_TREES))
+    return M.importances(spark, model.stages[-1], fm.getManifest(), TOP_IMPORTANCES)
+
+
+def q_mlp_scores(spark, sf):
+    fm, marked = _clients(spark, sf)
+    train, test = _parts(marked)
+    balanced = S.downsample(train, "id", "target", SEED)
+    names = fm.getManifest()
+    model = M.fit_classifier(balanced, names, M.mlp(len(names)))
+    return M.scored(model, test)
+
+
+def q_pipeline_scores(spark, sf):
+    """M15 + S4-S8: fit, save, load, score the held-out clients' loans, write CSV, read back."""
+    fm, marked = _clients(spark, sf)
+    train, test = _parts(marked)
+    names = fm.getManifest()
+    clf = M.fit_classifier(M.balanced_weights(train, "target"), names, M.gbt(M.LGBM_FINAL, maxIter=QUERY_TREES))
+    served = M.feature_pipeline_model(fm, names, clf.stages[-1])
+    path = scratch_path(spark, "pipeline_model")
+    M.save_model(served, path)
+    loaded = M.load_model(path)
+    test_loans = loans(spark, sf).join(test.select("id"), "id", "left_semi")
+    R.write_parquet(fm.transform(test_loans), scratch_path(spark, "test_features"))
+    pred = loaded.transform(test_loans).select("id", F.col("prediction").cast("int").alias("target"))
+    out = scratch_path(spark, "test_predict_csv")
+    R.write_csv(pred, out)
+    return R.read_csv(spark, out, "id BIGINT, target INT")
+
+
+MODEL_QUERIES = {
+    "gbt_scores": q_gbt_scores,
+    "cv_results": q_cv_results,
+    "importances": q_importances,
+    "mlp_scores": q_mlp_scores,
+    "pipeline_scores": q_pipeline_scores,
+}
