@@ -164,16 +164,22 @@ def pair_statistics(cells: DataFrame) -> DataFrame:
     """chi2 (with the 2x2 continuity correction) and corrected Cramer's V per pair.
 
     Input: cells (px, cx, vx, py, cy, vy, n), one contingency table per (cx, cy).
-    Output: (px, cx, py, cy, n, r, k, chi2, v)."""
+    Output: (px, cx, py, cy, n, r, k, chi2, v).  Margins come from windows and
+    one group-by, a linear chain, so the cells (and the pass that made them)
+    are computed once."""
     pair = ["px", "cx", "py", "cy"]
-    rows = cells.groupBy(*pair, "vx").agg(F.sum("n").alias("R"))
-    colm = cells.groupBy(*pair, "vy").agg(F.sum("n").alias("C"))
-    rstat = rows.groupBy(*pair).agg(F.sum("R").alias("N"), F.count(F.lit(1)).alias("r"),
-                                    F.sum(1.0 / F.col("R")).alias("inv_r"))
-    cstat = colm.groupBy(*pair).agg(F.count(F.lit(1)).alias("k"), F.sum(1.0 / F.col("C")).alias("inv_c"))
-    o2 = (cells.join(rows, [*pair, "vx"]).join(colm, [*pair, "vy"])
-          .groupBy(*pair).agg(F.sum(F.col("n") * F.col("n") / (F.col("R") * F.col("C"))).alias("q")))
-    st = rstat.join(cstat, pair).join(o2, pair)
+    by_row = Window.partitionBy(*pair, "vx")
+    by_col = Window.partitionBy(*pair, "vy")
+    m = (cells.withColumn("R", F.sum("n").over(by_row)).withColumn("nr", F.count(F.lit(1)).over(by_row))
+         .withColumn("C", F.sum("n").over(by_col)).withColumn("nc", F.count(F.lit(1)).over(by_col)))
+    st = m.groupBy(*pair).agg(
+        F.sum("n").alias("N"),
+        F.sum(F.col("n") * F.col("n") / (F.col("R") * F.col("C"))).alias("q"),
+        # each row / column margin counted once across its cells
+        F.sum(1.0 / (F.col("R") * F.col("nr"))).alias("inv_r"),
+        F.sum(1.0 / (F.col("C") * F.col("nc"))).alias("inv_c"),
+        F.countDistinct("vx").alias("r"),
+        F.countDistinct("vy").alias("k"))
     n, r, k = F.col("N").cast("double"), F.col("r"), F.col("k")
     plain = F.greatest(n * (F.col("q") - 1.0), F.lit(0.0))
     # In a 2x2 table |O - E| is the same in every cell, so the corrected sum
@@ -195,12 +201,13 @@ def pair_statistics(cells: DataFrame) -> DataFrame:
 
 
 def mirrored(stats: DataFrame, value_cols) -> DataFrame:
-    """Both orders of every pair from the cx <= cy half (the diagonal once)."""
+    """Both orders of every pair from the cx <= cy half (the diagonal once), in one pass."""
     value_cols = list(value_cols)
-    upper = stats.select(F.col("cx").alias("col_x"), F.col("cy").alias("col_y"), *value_cols)
-    lower = (stats.where(F.col("px") != F.col("py"))
-             .select(F.col("cy").alias("col_x"), F.col("cx").alias("col_y"), *value_cols))
-    return upper.unionByName(lower)
+    vals = [F.col(c) for c in value_cols]
+    xy = F.struct(F.col("cx").alias("col_x"), F.col("cy").alias("col_y"), *vals)
+    yx = F.struct(F.col("cy").alias("col_x"), F.col("cx").alias("col_y"), *vals)
+    both = F.when(F.col("px") != F.col("py"), F.array(xy, yx)).otherwise(F.array(xy))
+    return stats.select(F.explode(both).alias("e")).select("e.*")
 
 
 def association_matrix(df: DataFrame, cols, max_levels: int = 1000, levels=None) -> DataFrame:
@@ -211,12 +218,14 @@ def association_matrix(df: DataFrame, cols, max_levels: int = 1000, levels=None)
 
 
 def association_band(matrix: DataFrame, low: float = BAND_LOW, high: float = BAND_HIGH) -> DataFrame:
-    """among columns with some V in (low, high], the pairs with V > low."""
-    band = (matrix.where((F.col("v") > low) & (F.col("v") <= high))
-            .select(F.col("col_x").alias("c")).distinct())
-    strong = matrix.where(F.col("v") > low)
-    return (strong.join(band.withColumnRenamed("c", "col_x"), "col_x", "left_semi")
-            .join(band.withColumnRenamed("c", "col_y"), "col_y", "left_semi")
+    """among columns with some V in (low, high], the pairs with V > low.
+
+    The matrix is symmetric, so a column's band membership is the same seen
+    from its row or its column: two windows, no self-joins."""
+    inb = ((F.col("v") > low) & (F.col("v") <= high)).cast("int")
+    marked = (matrix.withColumn("bx", F.max(inb).over(Window.partitionBy("col_x")))
+              .withColumn("by", F.max(inb).over(Window.partitionBy("col_y"))))
+    return (marked.where((F.col("bx") == 1) & (F.col("by") == 1) & (F.col("v") > low))
             .select("col_x", "col_y", "v"))
 
 

@@ -24,13 +24,13 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _ranked(df: DataFrame, key, by: list[str], seed: int) -> DataFrame:
+def _ranked(df: DataFrame, key, by: list[str], seed: int, group_size: str | None = None) -> DataFrame:
     """Rank rows inside ``by`` by (hash of the key, key); ``key`` may be composite."""
     keys = _keys(key)
     hashed = df.withColumn(HASH, seeded_hash_keys(keys, seed))
     # (classes x 65,536) buckets: bounded, so the offsets may be broadcast
     return rank_within(hashed, by, [F.col(HASH), *[F.col(k) for k in keys]], [hash_bucket(HASH)],
-                       name=RANK, bounded_buckets=True)
+                       name=RANK, bounded_buckets=True, group_size=group_size)
 
 
 def _share(n: Column, fraction: float) -> Column:
@@ -39,11 +39,6 @@ def _share(n: Column, fraction: float) -> Column:
     return F.floor((n * F.lit(2 * f.numerator) + F.lit(f.denominator)) / F.lit(2 * f.denominator)).cast("bigint")
 
 
-def _with_sizes(ranked: DataFrame, df: DataFrame, label: str) -> DataFrame:
-    # One row per class: a label has few classes, so the table is broadcast.
-    return ranked.join(F.broadcast(group_sizes(df, [label], "__n")), label)
-
-
 def sample_n(df: DataFrame, key, n: int, seed: int = 44) -> DataFrame:
     """Exactly min(n, rows) rows, the n smallest (hash, key); ``key`` may be a list."""
     return _ranked(df, key, [], seed).where(F.col(RANK) <= n).drop(HASH, RANK)
@@ -52,7 +47,7 @@ def sample_n(df: DataFrame, key, n: int, seed: int = 44) -> DataFrame:
 def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float = 0.2,
                      seed: int = 44, flag: str = "is_test") -> DataFrame:
     """Add ``flag`` = 1 for round(test_fraction * n_c) rows of every class."""
-    ranked = _with_sizes(_ranked(df, key, [label], seed), df, label)
+    ranked = _ranked(df, key, [label], seed, group_size="__n")
     test = F.col(RANK) <= _share(F.col("__n"), test_fraction)
     return ranked.withColumn(flag, test.cast("int")).drop(HASH, RANK, "__n")
 
@@ -77,6 +72,7 @@ def downsample(df: DataFrame, key: str, label: str, seed: int = 44) -> DataFrame
     order.  The reference's union of the two parts is this one filter."""
     ranked = _ranked(df, key, [label], seed)
     sizes = group_sizes(df, [label], "__n")
+    # one row per class: a single-task window and a broadcast are fine
     smallest = sizes.withColumn("__min", F.min("__n").over(Window.partitionBy()))
     joined = ranked.join(F.broadcast(smallest), label)
     return joined.where(F.col(RANK) <= F.col("__min")).drop(HASH, RANK, "__n", "__min")
