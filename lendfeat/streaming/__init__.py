@@ -1 +1,5 @@
+"""Streaming: intentionally empty.
 
+The reference reads every input whole and runs batch calls only (no stream,
+watermark, window or state), so there is no streaming operator to rebuild.
+"""

@@ -98,3 +98,16 @@ def test_class_ratio_directions(spark):
     df = spark.createDataFrame([(0, True), (0, False), (0, True), (1, True)], "t int, s boolean")
     r = P.class_ratio(df, "t", F.col("s")).first()
     assert r["ratio_0_to_1"] == 3.0 and r["subset_ratio_1_to_0"] == 0.5
+
+
+def test_association_band_selects_strong_pairs(spark):
+    # a and b nearly identical (V in the band), c independent of both
+    rows = [(i % 3, (i % 3) if i % 20 else (i + 1) % 3, (i // 3) % 2) for i in range(600)]
+    df = spark.createDataFrame(rows, "a int, b int, c int")
+    m = P.association_matrix(df, ["a", "b", "c"])
+    band = {(r["col_x"], r["col_y"]) for r in P.association_band(m).collect()}
+    assert ("a", "b") in band and ("b", "a") in band
+    # c only meets itself (a 0/1 column's self-V is just under 1 after the 2x2 correction)
+    assert not band & {("a", "c"), ("c", "a"), ("b", "c"), ("c", "b")}
+    v_ab = m.where("col_x = 'a' AND col_y = 'b'").first()["v"]
+    assert 0.7 < v_ab <= 0.999
