@@ -258,6 +258,49 @@ def fisher_scores(df: DataFrame, features, label: str) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(ranked).cast("bigint"))
 
 
+def fisher_scores_by_key(df: DataFrame, features, key: str, labels: DataFrame, label: str) -> DataFrame:
+    """A11 when the label lives on another table keyed by ``key`` (one label per client).
+
+    Rows are first reduced per key to (count, sum, sum of squares) of every
+    feature -- partial aggregation, so a key holding a third of all rows costs
+    one row per map task -- and only these per-key rows are joined to the labels
+    (one row per key on both sides).  Class moments follow by summation:
+    n_c var_c = S2_c - S1_c^2 / n_c.  Same output as ``fisher_scores``."""
+    features = list(features)
+    x = [F.col(f).cast("double") for f in features]
+    flat = df.groupBy(key).agg(*[a for i, f in enumerate(features) for a in (
+        F.count(f).alias(f"n_{i}"), F.sum(x[i]).alias(f"s1_{i}"), F.sum(x[i] * x[i]).alias(f"s2_{i}"))])
+    per_class = flat.join(labels.select(key, label), key, "left").groupBy(label).agg(*[
+        F.sum(f"{p}_{i}").alias(f"{p}_{i}") for i in range(len(features)) for p in ("n", "s1", "s2")])
+    long = per_class.select(F.explode(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f"n_{i}").alias("n"), F.col(f"s1_{i}").alias("s1"),
+                 F.col(f"s2_{i}").alias("s2"))
+        for i, f in enumerate(features)])).alias("s")).select("s.*").where(F.col("n") > 0)
+    mu_c = F.col("s1") / F.col("n")
+    w = Window.partitionBy("feature")
+    mu = F.sum("s1").over(w) / F.sum("n").over(w)
+    parts = long.select("feature", (F.col("n") * F.pow(mu_c - mu, 2)).alias("between"),
+                        F.greatest(F.col("s2") - F.col("s1") * F.col("s1") / F.col("n"), F.lit(0.0)).alias("within"))
+    agg = parts.groupBy("feature").agg(F.sum("between").alias("between"), F.sum("within").alias("within"))
+    scored = agg.select("feature", F.when(F.col("within") > 0, F.col("between") / F.col("within")).alias("score"))
+    ranked = Window.orderBy(F.col("score").desc_nulls_last(), F.col("feature"))
+    return scored.withColumn("rank", F.row_number().over(ranked).cast("bigint"))
+
+
+def class_ratio_by_key(df: DataFrame, key: str, labels: DataFrame, label: str, subset: Column) -> DataFrame:
+    """A13 with the label on a per-key table: rows counted per key first, then per class."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"), F.count_if(subset).alias("__sub"))
+    j = per_key.join(labels.select(key, label), key, "left")
+    y = F.col(label)
+    n0 = F.sum(F.when(y == 0, F.col("__rows")).otherwise(F.lit(0)))
+    n1 = F.sum(F.when(y == 1, F.col("__rows")).otherwise(F.lit(0)))
+    s0 = F.sum(F.when(y == 0, F.col("__sub")).otherwise(F.lit(0)))
+    s1 = F.sum(F.when(y == 1, F.col("__sub")).otherwise(F.lit(0)))
+    return j.agg(n0.alias("n0"), n1.alias("n1"), F.try_divide(n0.cast("double"), n1).alias("ratio_0_to_1"),
+                 s0.alias("subset_n0"), s1.alias("subset_n1"),
+                 F.try_divide(s1.cast("double"), s0).alias("subset_ratio_1_to_0"))
+
+
 def lowest(df: DataFrame, score: str, k: int, tie: str) -> DataFrame:
     """The k smallest scores (NULL last), ties by name."""
     return df.orderBy(F.col(score).asc_nulls_last(), F.col(tie)).limit(k)

@@ -209,9 +209,13 @@ def q_association_band(spark, sf):
 
 
 def _fisher(spark, sf) -> DataFrame:
-    df = _labelled_loans(spark, sf)
-    feats = [c for c in df.columns if c not in ("id", "target")]
-    return P.fisher_scores(df, feats, "target")
+    """Fisher scores of every loan column against the client's target.
+
+    Loans are reduced per client before meeting the targets, so no loan-grain join."""
+    lo = loans(spark, sf)
+    feats = [c for c in lo.columns if c != "id"]
+    tg = targets(spark, sf).withColumnRenamed("flag", "target")
+    return P.fisher_scores_by_key(lo, feats, "id", tg, "target")
 
 
 def q_fisher_score(spark, sf):
@@ -228,8 +232,9 @@ def q_shape(spark, sf):
 
 
 def q_class_ratio(spark, sf):
-    df = _labelled_loans(spark, sf)
-    out = P.class_ratio(df, "target", P.any_equals(_roles(df).overdue_flags, 0))
+    lo = loans(spark, sf)
+    tg = targets(spark, sf).withColumnRenamed("flag", "target")
+    out = P.class_ratio_by_key(lo, "id", tg, "target", P.any_equals(_roles(lo).overdue_flags, 0))
     return out.select("n0", "n1", r6("ratio_0_to_1").alias("ratio_0_to_1"), "subset_n0", "subset_n1",
                       r6("subset_ratio_1_to_0").alias("subset_ratio_1_to_0"))
 

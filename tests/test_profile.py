@@ -111,3 +111,19 @@ def test_association_band_selects_strong_pairs(spark):
     assert not band & {("a", "c"), ("c", "a"), ("b", "c"), ("c", "b")}
     v_ab = m.where("col_x = 'a' AND col_y = 'b'").first()["v"]
     assert 0.7 < v_ab <= 0.999
+
+
+def test_fisher_by_key_equals_row_grain(spark):
+    from lendfeat.sources.loans import loans, targets
+
+    lo = loans(spark, "/root/testdata/sf0.001")
+    tg = targets(spark, "/root/testdata/sf0.001").withColumnRenamed("flag", "target")
+    feats = [c for c in lo.columns if c != "id"]
+    a = {r["feature"]: (r["score"], r["rank"]) for r in P.fisher_scores_by_key(lo, feats, "id", tg, "target").collect()}
+    b = {r["feature"]: (r["score"], r["rank"]) for r in P.fisher_scores(lo.join(tg, "id", "left"), feats, "target").collect()}
+    assert a.keys() == b.keys()
+    for f in a:
+        if b[f][0] is None:
+            assert a[f][0] is None
+        else:
+            assert a[f][0] == pytest.approx(b[f][0], rel=1e-9)
