@@ -88,7 +88,7 @@ def q_mlp_scores(spark, sf):
     return M.scored(model, test)
 
 
-def q_pipeline_scores(spark, sf):
+def q_saved_model_scores(spark, sf):
     """M15 + S4-S8: fit, save, load, score the held-out clients' loans, write CSV, read back."""
     fm, marked = _clients(spark, sf)
     train, test = _parts(marked)
@@ -111,5 +111,5 @@ MODEL_QUERIES = {
     "cv_results": q_cv_results,
     "importances": q_importances,
     "mlp_scores": q_mlp_scores,
-    "pipeline_scores": q_pipeline_scores,
+    "saved_model_scores": q_saved_model_scores,
 }
