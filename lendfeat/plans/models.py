@@ -28,8 +28,9 @@ from lendfeat.sources.loans import loans, targets
 QUERY_TREES = 20
 CV_TREES = 5
 TOP_IMPORTANCES = 20
-CV_FOLDS_GBT, CV_FOLDS_HGB = 4, 5
+CV_FOLDS_GBT, CV_FOLDS_HGB, CV_FOLDS_ALL = 4, 5, 5
 CV_JOBS_GBT, CV_JOBS_HGB = 2, 4
+VALIDATION_FRACTION = 0.2
 
 
 def _clients(spark: SparkSession, sf: str):
@@ -68,7 +69,30 @@ def q_cv_results(spark, sf):
     g2 = ParamGridBuilder().addGrid(hgb.minInstancesPerNode, [1, 20]).build()
     r2 = M.cross_validate(spark, hgb, g2, S.folds(data, "id", "target", CV_FOLDS_HGB, SEED),
                           "fold", CV_FOLDS_HGB, parallelism=CV_JOBS_HGB, name="hgb")
-    return M.rank_results(M.append_results(r1, r2))
+    # M7: the chosen configuration cross-validated on all clients, fitted models kept
+    allc = M.assembler(names).transform(M.balanced_weights(marked.drop("is_test"), "target"))
+    final = M.gbt(M.LGBM_FINAL, maxIter=CV_TREES)
+    g3 = ParamGridBuilder().addGrid(final.maxDepth, [M.LGBM_FINAL.params["maxDepth"]]).build()
+    r3 = M.cross_validate(spark, final, g3, S.folds(allc, "id", "target", CV_FOLDS_ALL, SEED),
+                          "fold", CV_FOLDS_ALL, name="final_all_clients")
+    return M.rank_results(M.append_results(M.append_results(r1, r2), r3))
+
+
+def q_early_stopping_scores(spark, sf):
+    """M2 + M4 tuned: 2,000-round presets stopped early on a validation slice of train (not the test set)."""
+    fm, marked = _clients(spark, sf)
+    train, test = _parts(marked)
+    names = fm.getManifest()
+    tv = (S.stratified_split(train, "id", "target", VALIDATION_FRACTION, SEED + 1, flag="is_val")
+          .withColumn("is_val", F.col("is_val") == 1))
+    weighted = M.balanced_weights(tv, "target")
+    out = None
+    for preset in (M.LGBM_TUNED, M.HGB_TUNED):
+        model = M.fit_classifier(weighted, names, M.gbt(preset, validation="is_val"))
+        rows = M.scored(model, test).select(F.lit(preset.name).alias("model"), "*",
+                                            F.lit(model.stages[-1].getNumTrees).alias("n_trees"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def q_importances(spark, sf):
@@ -85,7 +109,9 @@ def q_mlp_scores(spark, sf):
     balanced = S.downsample(train, "id", "target", SEED)
     names = fm.getManifest()
     model = M.fit_classifier(balanced, names, M.mlp(len(names)))
-    return M.scored(model, test)
+    path = scratch_path(spark, "mlp_model")
+    M.save_model(model, path)  # S8
+    return M.scored(M.load_model(path), test)
 
 
 def q_saved_model_scores(spark, sf):
@@ -111,5 +137,6 @@ MODEL_QUERIES = {
     "cv_results": q_cv_results,
     "importances": q_importances,
     "mlp_scores": q_mlp_scores,
+    "early_stopping_scores": q_early_stopping_scores,
     "saved_model_scores": q_saved_model_scores,
 }
