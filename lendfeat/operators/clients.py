@@ -23,7 +23,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendfeat.functions.history import status_features, status_vector
+from lendfeat.functions.history import quote, status_features, status_vector
 from lendfeat.operators.profile import learn_levels
 from lendfeat.roles import (DERIVED_NUMERIC, EXCLUDED_COLS, FLAG_COLS, ID_COL, SEQ_COL,
                             SHIFTED_STATUS_COLS, STATUS_PREFIX, ColumnRoles)
@@ -42,6 +42,15 @@ AGG_FUNCS = {
 }
 
 
+def sql_literal(v) -> str:
+    """A level value as a SQL literal (numbers as is, strings quoted)."""
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def level_name(col: str, level) -> str:
     """Output name of one level's column."""
     return f"{col}_{level}"
@@ -59,33 +68,37 @@ def with_status_features(loans: DataFrame, roles: ColumnRoles) -> DataFrame:
 
 def flag_sum_aggs(roles: ColumnRoles) -> list[Column]:
     """A1: per-client sums of the ten 0/1 flags."""
-    return [F.sum(c).cast("bigint").alias(c) for c in roles.flags]
+    return [F.expr(f"CAST(sum({quote(c)}) AS BIGINT) AS {quote(c)}") for c in roles.flags]
 
 
 def level_count_aggs(levels: dict[str, list], shifted=(), shift_first: bool = False) -> list[Column]:
     """A2: per-client count of each learned level, one column per (column, level)."""
     out = []
     for col, lv in levels.items():
-        value = F.col(col) - 1 if (shift_first and col in set(shifted)) else F.col(col)
-        out.extend(F.count_if(value == F.lit(v)).alias(level_name(col, v)) for v in lv)
+        value = f"({quote(col)} - 1)" if (shift_first and col in set(shifted)) else quote(col)
+        out.extend(F.expr(f"count_if({value} = {sql_literal(v)}) AS {quote(level_name(col, v))}") for v in lv)
     return out
 
 
 def numeric_max_aggs(roles: ColumnRoles) -> list[Column]:
     """A3: per-client maxima of rn and the status features."""
-    return [F.max(c).alias(max_name(c)) for c in roles.numeric]
+    return [F.expr(f"max({quote(c)}) AS {quote(max_name(c))}") for c in roles.numeric]
 
 
-def has_loans_col(roles: ColumnRoles, mode: str = "all_loans") -> Column:
+def has_loans_sql(roles: ColumnRoles, mode: str = "all_loans") -> str:
     """A15, evaluated on the aggregated frame.
 
     ``all_loans`` (the reference's code): some overdue-flag *sum* is 0, i.e.
     every loan was overdue in that bucket.  ``any_loan``: some loan has some
     overdue flag at 0; needs the ``__any_overdue`` aggregate."""
     if mode == "any_loan":
-        return F.coalesce(F.col("__any_overdue"), F.lit(0)).cast("int")
-    sums = [F.col(c) for c in roles.overdue_flags]
-    return F.when(F.least(*sums) == 0, F.lit(1)).otherwise(F.lit(0)).cast("int")
+        return "CAST(coalesce(`__any_overdue`, 0) AS INT)"
+    sums = ", ".join(quote(c) for c in roles.overdue_flags)
+    return f"CAST(CASE WHEN least({sums}) = 0 THEN 1 ELSE 0 END AS INT)"
+
+
+def has_loans_col(roles: ColumnRoles, mode: str = "all_loans") -> Column:
+    return F.expr(has_loans_sql(roles, mode))
 
 
 def any_overdue_agg(roles: ColumnRoles) -> Column:
@@ -93,9 +106,13 @@ def any_overdue_agg(roles: ColumnRoles) -> Column:
                  .otherwise(F.lit(0))).alias("__any_overdue")
 
 
-def relative(col: str, seq_max: str = max_name(SEQ_COL)) -> Column:
+def relative_sql(col: str, seq_max: str = max_name(SEQ_COL)) -> str:
     """A count column over rn_max; rn_max = 0 gives NULL, not an error."""
-    return F.try_divide(F.col(col).cast("double"), F.col(seq_max)).alias(col)
+    return f"try_divide(CAST({quote(col)} AS DOUBLE), {quote(seq_max)}) AS {quote(col)}"
+
+
+def relative(col: str, seq_max: str = max_name(SEQ_COL)) -> Column:
+    return F.expr(relative_sql(col, seq_max))
 
 
 def aggregate_by_map(df: DataFrame, key: str, func_map: dict[str, str]) -> DataFrame:
@@ -111,8 +128,8 @@ def distinct_clients(df: DataFrame, key: str = ID_COL) -> DataFrame:
 def align_to_manifest(df: DataFrame, manifest, key: str | None = ID_COL, fill: float = 0.0) -> DataFrame:
     """Exactly the manifest's columns in its order; missing ones are ``fill``."""
     have = set(df.columns)
-    cols = [F.col(c) if c in have else F.lit(fill).cast("double").alias(c) for c in manifest]
-    return df.select(*([key] if key else []), *cols)
+    cols = [quote(c) if c in have else f"CAST({float(fill)!r} AS DOUBLE) AS {quote(c)}" for c in manifest]
+    return df.selectExpr(*([quote(key)] if key else []), *cols)
 
 
 def client_features(loans: DataFrame, roles: ColumnRoles, levels: dict[str, list], *,
@@ -126,11 +143,11 @@ def client_features(loans: DataFrame, roles: ColumnRoles, levels: dict[str, list
         aggs.append(any_overdue_agg(roles))
     grouped = derived.groupBy(roles.id_col).agg(*aggs)
     counted = list(roles.flags) + [level_name(c, v) for c, lv in levels.items() for v in lv]
-    return grouped.select(
-        roles.id_col,
-        *[relative(c) for c in counted],
-        *[max_name(c) for c in roles.numeric],
-        has_loans_col(roles, has_loans_mode).alias(HAS_LOANS),
+    return grouped.selectExpr(
+        quote(roles.id_col),
+        *[relative_sql(c) for c in counted],
+        *[quote(max_name(c)) for c in roles.numeric],
+        f"{has_loans_sql(roles, has_loans_mode)} AS {HAS_LOANS}",
     )
 
 

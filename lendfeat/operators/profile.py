@@ -14,15 +14,14 @@ are ever exploded into rows.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lendfeat.functions.history import quote
+
 # Fixed values of the statistics (Bergsma-Wicher correction and the 2x2 rule).
 V_EPSILON = 1e-6
 YATES = 0.5
@@ -35,7 +34,10 @@ BAND_LOW, BAND_HIGH = 0.7, 0.999
 
 def any_equals(cols, value) -> Column:
     """true when any of ``cols`` equals ``value`` (NULL compares false)."""
-    return reduce(or_, [F.coalesce(F.col(c) == F.lit(value), F.lit(False)) for c in cols])
+    from lendfeat.operators.clients import sql_literal
+
+    lit = sql_literal(value)
+    return F.expr(" OR ".join(f"coalesce({quote(c)} = {lit}, false)" for c in cols))
 
 
 # ---------------------------------------------------------------------------
@@ -46,7 +48,7 @@ def _long(df: DataFrame, cols) -> DataFrame:
     """Unpivot ``cols`` to (column, value); integer columns keep BIGINT values."""
     integral = all(isinstance(df.schema[c].dataType, T.IntegralType) for c in cols)
     vt = "bigint" if integral else "string"
-    narrow = df.select(*[F.col(c).cast(vt).alias(c) for c in cols])
+    narrow = df.selectExpr(*[f"CAST({quote(c)} AS {vt}) AS {quote(c)}" for c in cols])
     return narrow.unpivot([], list(cols), "column", "value")
 
 

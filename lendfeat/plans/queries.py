@@ -118,11 +118,11 @@ def q_overdue_and_flag_counts(spark, sf):
 
 def q_status_counts(spark, sf):
     lo = loans(spark, sf)
-    vec = H.status_vector(_roles(lo).status, _roles(lo).shifted).values()
+    vec = H.status_vector(_roles(lo).status, _roles(lo).shifted)
     return lo.select("id", "rn",
-                     H.count_true(H.is_active(c) for c in vec).alias("n_active"),
-                     H.count_true(F.coalesce(c == 1, F.lit(False)) for c in vec).alias("n_code1"),
-                     H.count_true(F.coalesce(c == 2, F.lit(False)) for c in vec).alias("n_code2"))
+                     H.count_active(vec).alias("n_active"),
+                     H.count_equal(vec, 1).alias("n_code1"),
+                     H.count_equal(vec, 2).alias("n_code2"))
 
 
 def q_threshold_label(spark, sf):
