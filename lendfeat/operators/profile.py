@@ -32,6 +32,11 @@ BAND_LOW, BAND_HIGH = 0.7, 0.999
 # predicates
 # ---------------------------------------------------------------------------
 
+def _string(v: str) -> str:
+    """A Python string as a SQL string literal."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def any_equals(cols, value) -> Column:
     """true when any of ``cols`` equals ``value`` (NULL compares false)."""
     from lendfeat.operators.clients import sql_literal
@@ -242,12 +247,11 @@ def fisher_scores(df: DataFrame, features, label: str) -> DataFrame:
     K x features table is unpivoted and combined.  ``rank`` 1 = highest score."""
     features = list(features)
     per_class = df.groupBy(label).agg(*[
-        F.struct(F.count(f).alias("n"), F.avg(f).alias("mu"), F.var_pop(f).alias("var")).alias(f"s{i}")
+        F.expr(f"named_struct('n', count({quote(f)}), 'mu', avg({quote(f)}), 'var', var_pop({quote(f)})) AS s{i}")
         for i, f in enumerate(features)])
-    long = per_class.select(F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f"s{i}.n").alias("n"), F.col(f"s{i}.mu").alias("mu"),
-                 F.col(f"s{i}.var").alias("var"))
-        for i, f in enumerate(features)])).alias("s")).select("s.*").where(F.col("n") > 0)
+    structs = ", ".join(f"named_struct('feature', {_string(f)}, 'n', s{i}.n, 'mu', s{i}.mu, 'var', s{i}.var)"
+                        for i, f in enumerate(features))
+    long = per_class.selectExpr(f"explode(array({structs})) AS s").select("s.*").where(F.col("n") > 0)
     w = Window.partitionBy("feature")
     mu = F.sum(F.col("n") * F.col("mu")).over(w) / F.sum("n").over(w)
     parts = long.withColumn("between", F.col("n") * F.pow(F.col("mu") - mu, 2))
@@ -269,15 +273,17 @@ def fisher_scores_by_key(df: DataFrame, features, key: str, labels: DataFrame, l
     (one row per key on both sides).  Class moments follow by summation:
     n_c var_c = S2_c - S1_c^2 / n_c.  Same output as ``fisher_scores``."""
     features = list(features)
-    x = [F.col(f).cast("double") for f in features]
-    flat = df.groupBy(key).agg(*[a for i, f in enumerate(features) for a in (
-        F.count(f).alias(f"n_{i}"), F.sum(x[i]).alias(f"s1_{i}"), F.sum(x[i] * x[i]).alias(f"s2_{i}"))])
+    aggs = []
+    for i, f in enumerate(features):
+        x = f"CAST({quote(f)} AS DOUBLE)"
+        aggs += [F.expr(f"count({quote(f)}) AS n_{i}"), F.expr(f"sum({x}) AS s1_{i}"),
+                 F.expr(f"sum({x} * {x}) AS s2_{i}")]
+    flat = df.groupBy(key).agg(*aggs)
     per_class = flat.join(labels.select(key, label), key, "left").groupBy(label).agg(*[
-        F.sum(f"{p}_{i}").alias(f"{p}_{i}") for i in range(len(features)) for p in ("n", "s1", "s2")])
-    long = per_class.select(F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f"n_{i}").alias("n"), F.col(f"s1_{i}").alias("s1"),
-                 F.col(f"s2_{i}").alias("s2"))
-        for i, f in enumerate(features)])).alias("s")).select("s.*").where(F.col("n") > 0)
+        F.expr(f"sum({p}_{i}) AS {p}_{i}") for i in range(len(features)) for p in ("n", "s1", "s2")])
+    structs = ", ".join(f"named_struct('feature', {_string(f)}, 'n', n_{i}, 's1', s1_{i}, 's2', s2_{i})"
+                        for i, f in enumerate(features))
+    long = per_class.selectExpr(f"explode(array({structs})) AS s").select("s.*").where(F.col("n") > 0)
     mu_c = F.col("s1") / F.col("n")
     w = Window.partitionBy("feature")
     mu = F.sum("s1").over(w) / F.sum("n").over(w)
