@@ -4,9 +4,9 @@ All profiles run as distributed aggregates; nothing is collected except the
 learned level lists, whose size is checked before they reach the driver.
 
 Cramer's V for every column pair: instead of one crosstab per pair, each
-partition one-hot encodes its rows against the learned levels and adds up
-``X'X`` (a levels x levels co-occurrence matrix) in a ``mapInPandas`` task,
-emitting only non-zero cells.  A ``groupBy(i, j).sum`` merges partitions; every
+partition one-hot encodes its rows (levels numbered as they appear in the
+task) and adds up ``X'X`` (a levels x levels co-occurrence matrix) in a
+``mapInPandas`` task, emitting only non-zero cells.  A ``groupBy(i, j).sum`` merges partitions; every
 pair's contingency table is a block of that matrix.  Work per row is one small
 matrix product, memory per task is levels^2, and no pairs of rows or columns
 are ever exploded into rows.
@@ -118,53 +118,67 @@ def class_ratio(df: DataFrame, label: str, subset: Column | None = None) -> Data
 # Cramer's V and chi-square for all column pairs
 # ---------------------------------------------------------------------------
 
-def _cooccurrence_fn(layout, n_levels):
-    """Per-partition X'X of the one-hot rows, as non-zero (i, j, n) cells, i <= j."""
+def _cooccurrence_fn(cols, max_levels: int):
+    """Per-partition X'X of the one-hot rows, as non-zero (px, vx, py, vy, n) cells, px <= py.
+
+    Levels are numbered in order of first sight inside the task (no separate
+    pass to learn them); a column with more than ``max_levels`` values in one
+    task fails the job, which bounds task memory by (columns x max_levels)^2."""
 
     def run(batches):
-        total = np.zeros((n_levels, n_levels), dtype=np.int64)
+        ids: list[dict] = [dict() for _ in cols]      # per column: value -> global id
+        owner: list[tuple[int, str]] = []              # global id -> (column position, value)
+        total = np.zeros((0, 0), dtype=np.int64)
         for pdf in batches:
             n = len(pdf)
             if n == 0:
                 continue
-            x = np.zeros((n, n_levels), dtype=np.float32)
+            for pos, c in enumerate(cols):
+                for v in pd.unique(pdf[c].dropna()):
+                    if v not in ids[pos]:
+                        if len(ids[pos]) >= max_levels:
+                            raise ValueError(f"column {c} has more than {max_levels} levels")
+                        ids[pos][v] = len(owner)
+                        owner.append((pos, v))
+            size = len(owner)
+            if size > total.shape[0]:
+                total = np.pad(total, ((0, size - total.shape[0]), (0, size - total.shape[0])))
+            x = np.zeros((n, size), dtype=np.float32)
             rows = np.arange(n)
-            for col, offset, lookup in layout:
-                pos = pdf[col].map(lookup).to_numpy(dtype=np.float64, na_value=np.nan)
-                ok = ~np.isnan(pos)
-                x[rows[ok], offset + pos[ok].astype(np.int64)] = 1.0
+            for pos, c in enumerate(cols):
+                gid = pdf[c].map(ids[pos]).to_numpy(dtype=np.float64, na_value=np.nan)
+                ok = ~np.isnan(gid)
+                x[rows[ok], gid[ok].astype(np.int64)] = 1.0
             # float32 sums of 0/1 stay exact below 2^24 rows per batch
             total += np.rint(x.T @ x).astype(np.int64)
         i, j = np.nonzero(np.triu(total))
         if len(i):
-            yield pd.DataFrame({"i": i.astype(np.int32), "j": j.astype(np.int32), "n": total[i, j]})
+            pi = np.array([owner[k][0] for k in i]); pj = np.array([owner[k][0] for k in j])
+            vi = np.array([owner[k][1] for k in i], dtype=object)
+            vj = np.array([owner[k][1] for k in j], dtype=object)
+            swap = pi > pj
+            yield pd.DataFrame({"px": np.where(swap, pj, pi).astype(np.int32),
+                                "vx": np.where(swap, vj, vi),
+                                "py": np.where(swap, pi, pj).astype(np.int32),
+                                "vy": np.where(swap, vi, vj),
+                                "n": total[i, j]})
 
     return run
 
 
-def cooccurrence_cells(df: DataFrame, levels: dict[str, list]) -> DataFrame:
-    """Contingency cells of every column pair (cx <= cy in column order).
-
-    Columns: cx, vx, cy, vy, n.  Rows with a NULL in either column of a pair
-    simply contribute nothing to that pair."""
-    spark = df.sparkSession
-    cols = list(levels)
-    layout, table, offset = [], [], 0
-    for ci, c in enumerate(cols):
-        lookup = {v: k for k, v in enumerate(levels[c])}
-        layout.append((c, offset, lookup))
-        table.extend((offset + k, ci, c, str(v)) for k, v in enumerate(levels[c]))
-        offset += len(levels[c])
-    fn = _cooccurrence_fn(layout, offset)
-    cells = (df.select(*cols).mapInPandas(fn, "i int, j int, n long")
-             .groupBy("i", "j").agg(F.sum("n").alias("n")))
-    # The level table is bounded by maxLevels x columns: safe to broadcast.
-    lv = spark.createDataFrame(table, "idx int, pos int, col string, val string")
-    a = F.broadcast(lv.select(F.col("idx").alias("i"), F.col("pos").alias("px"),
-                              F.col("col").alias("cx"), F.col("val").alias("vx")))
-    b = F.broadcast(lv.select(F.col("idx").alias("j"), F.col("pos").alias("py"),
-                              F.col("col").alias("cy"), F.col("val").alias("vy")))
-    return cells.join(a, "i").join(b, "j").select("px", "cx", "vx", "py", "cy", "vy", "n")
+def cooccurrence_cells(df: DataFrame, cols, max_levels: int = 1000) -> DataFrame:
+    """Contingency cells of every column pair (cx <= cy in column order), one pass.
+
+    Columns: px, cx, vx, py, cy, vy, n (values as strings).  Rows with a NULL in
+    either column of a pair simply contribute nothing to that pair."""
+    cols = list(cols)
+    narrow = df.selectExpr(*[f"CAST({quote(c)} AS STRING) AS {quote(c)}" for c in cols])
+    cells = (narrow.mapInPandas(_cooccurrence_fn(cols, max_levels),
+                                "px int, vx string, py int, vy string, n long")
+             .groupBy("px", "vx", "py", "vy").agg(F.sum("n").alias("n")))
+    names = "array(" + ", ".join(_string(c) for c in cols) + ")"
+    return cells.selectExpr("px", f"element_at({names}, px + 1) AS cx", "vx",
+                            "py", f"element_at({names}, py + 1) AS cy", "vy", "n")
 
 
 def pair_statistics(cells: DataFrame) -> DataFrame:
@@ -217,10 +231,9 @@ def mirrored(stats: DataFrame, value_cols) -> DataFrame:
     return stats.select(F.explode(both).alias("e")).select("e.*")
 
 
-def association_matrix(df: DataFrame, cols, max_levels: int = 1000, levels=None) -> DataFrame:
+def association_matrix(df: DataFrame, cols, max_levels: int = 1000) -> DataFrame:
     """A9 + A10: (col_x, col_y, n, r, k, chi2, v) for all ordered column pairs."""
-    levels = levels or learn_levels(df, cols, max_levels)
-    stats = pair_statistics(cooccurrence_cells(df, levels))
+    stats = pair_statistics(cooccurrence_cells(df, cols, max_levels))
     return mirrored(stats, ["n", "r", "k", "chi2", "v"])
 
 

@@ -53,8 +53,8 @@ def test_cooccurrence_matches_groupby(spark):
     from lendfeat.sources.loans import loans
 
     lo = loans(spark, "/root/testdata/sf0.001")
-    levels = P.learn_levels(lo, ["pre_cat_a", "enc_cat_b"])
-    cells = P.cooccurrence_cells(lo, levels).where((F.col("cx") == "pre_cat_a") & (F.col("cy") == "enc_cat_b"))
+    cells = P.cooccurrence_cells(lo, ["pre_cat_a", "enc_cat_b"]).where(
+        (F.col("cx") == "pre_cat_a") & (F.col("cy") == "enc_cat_b"))
     got = {(int(r["vx"]), int(r["vy"])): r["n"] for r in cells.collect()}
     want = {(r["pre_cat_a"], r["enc_cat_b"]): r["n"] for r in P.contingency(lo, "pre_cat_a", "enc_cat_b").collect()}
     assert got == want
@@ -127,3 +127,9 @@ def test_fisher_by_key_equals_row_grain(spark):
             assert a[f][0] is None
         else:
             assert a[f][0] == pytest.approx(b[f][0], rel=1e-9)
+
+
+def test_cooccurrence_level_bound(spark):
+    df = spark.range(500).selectExpr("id AS a", "id % 2 AS b")  # ~60 values per task
+    with pytest.raises(Exception, match="more than 10 levels"):
+        P.association_matrix(df, ["a", "b"], max_levels=10).collect()
