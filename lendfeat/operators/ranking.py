@@ -11,6 +11,10 @@ rows ever share a task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,3 +77,47 @@ def rank_within(df: DataFrame, by: list[str], order: list, buckets: list[Column]
 def group_sizes(df: DataFrame, by: list[str], name: str = "n") -> DataFrame:
     """Rows per group; partial aggregation keeps hot groups cheap."""
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
+
+
+def segment_by_rank(df: DataFrame, by: list[str], order: list, bucket: Column,
+                    cuts: Callable[[Column, Column], list[Column]], *, name: str = "segment") -> DataFrame:
+    """Add ``name`` = how many cut points lie below the row's exact rank in its group.
+
+    ``cuts(group_size, smallest_group_size)`` gives the cut points of a group as
+    expressions of its size.  Rows are ranked by ``order`` inside ``by``;
+    ``bucket`` must be monotone in that order and take a bounded number of
+    values per group (the histogram is broadcast).
+
+    Only buckets that straddle a cut point need real ranks: every other bucket
+    lies wholly between two cuts and is settled by a broadcast join with the
+    histogram, without moving its rows.  The rows of straddling buckets (at
+    most one bucket per cut and group) are the only ones shuffled and sorted.
+    The input is read three times (histogram, settled rows, straddling rows):
+    checkpoint an expensive input first.
+    """
+    keyed = df.withColumn("__b", bucket)
+    keys = [*by, "__b"]
+    hist = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    gsize = F.sum("__n").over(Window.partitionBy(*by))
+    h = (hist.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+         .withColumn("__gn", gsize))
+    h = h.withColumn("__gmin", F.min("__gn").over(Window.partitionBy()))
+    points = cuts(F.col("__gn"), F.col("__gmin"))
+
+    def seg(rank: Column) -> Column:
+        return reduce(add, [(p < rank).cast("int") for p in points], F.lit(0))
+
+    h = h.select(*[F.col(k).alias(f"__o_{k}") for k in keys], "__off",
+                 seg(F.col("__off") + 1).alias("__first"), seg(F.col("__off") + F.col("__n")).alias("__last"),
+                 *[p.alias(f"__cut{i}") for i, p in enumerate(points)])
+    cond = [keyed[k].eqNullSafe(h[f"__o_{k}"]) for k in keys]
+    joined = keyed.join(F.broadcast(h), cond, "inner")
+    settled = joined.where(F.col("__first") == F.col("__last")).withColumn(name, F.col("__first"))
+    inside = Window.partitionBy(*keys).orderBy(*order)
+    rank = F.col("__off") + F.row_number().over(inside)
+    edge_seg = reduce(add, [(F.col(f"__cut{i}") < rank).cast("int") for i in range(len(points))], F.lit(0))
+    edge = joined.where(F.col("__first") != F.col("__last")).withColumn(name, edge_seg)
+    drop = ["__b", "__off", "__first", "__last", *[f"__o_{k}" for k in keys],
+            *[f"__cut{i}" for i in range(len(points))]]
+    return settled.unionByName(edge).drop(*drop)

@@ -1,36 +1,38 @@
 """Exact, reproducible sampling and splitting.
 
 Rows are ordered by a seeded integer hash of the key (the same formula runs in
-the SQL oracle), and exact per-class ranks come from ``rank_within``: each class
-is cut into 65,536 hash buckets, so ranking a class never means one task per
-class.  Sizes are then exact (``floor(f * n_c + 1/2)`` per class), which
-``DataFrame.sampleBy`` cannot promise.
+the SQL oracle).  Every operator here only needs to know where a row's exact
+rank falls relative to a few cut points (the test share, n, the smallest
+class, the fold boundaries), so ``segment_by_rank`` settles whole hash buckets
+from a 65,536-bucket histogram and ranks only the rows of buckets that
+straddle a cut.  No operator shuffles or sorts the full data, and none puts a
+class into one task.  Sizes are exact (``floor(f * n_c + 1/2)`` per class),
+which ``DataFrame.sampleBy`` cannot promise.
 """
 
 from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendfeat.operators.ranking import group_sizes, hash_bucket, rank_within, seeded_hash_keys
+from lendfeat.operators.ranking import hash_bucket, segment_by_rank, seeded_hash_keys
 
 HASH = "__h"
-RANK = "__rank"
+SEG = "__seg"
 
 
 def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _ranked(df: DataFrame, key, by: list[str], seed: int, group_size: str | None = None) -> DataFrame:
-    """Rank rows inside ``by`` by (hash of the key, key); ``key`` may be composite."""
+def _segmented(df: DataFrame, key, by: list[str], seed: int, cuts) -> DataFrame:
+    """Segment of each row's rank inside ``by`` ordered by (hash of the key, key)."""
     keys = _keys(key)
     hashed = df.withColumn(HASH, seeded_hash_keys(keys, seed))
-    # (classes x 65,536) buckets: bounded, so the offsets may be broadcast
-    return rank_within(hashed, by, [F.col(HASH), *[F.col(k) for k in keys]], [hash_bucket(HASH)],
-                       name=RANK, bounded_buckets=True, group_size=group_size)
+    order = [F.col(HASH), *[F.col(k) for k in keys]]
+    return segment_by_rank(hashed, by, order, hash_bucket(HASH), cuts, name=SEG).drop(HASH)
 
 
 def _share(n: Column, fraction: float) -> Column:
@@ -41,15 +43,15 @@ def _share(n: Column, fraction: float) -> Column:
 
 def sample_n(df: DataFrame, key, n: int, seed: int = 44) -> DataFrame:
     """Exactly min(n, rows) rows, the n smallest (hash, key); ``key`` may be a list."""
-    return _ranked(df, key, [], seed).where(F.col(RANK) <= n).drop(HASH, RANK)
+    out = _segmented(df, key, [], seed, lambda gn, gmin: [F.lit(n).cast("bigint")])
+    return out.where(F.col(SEG) == 0).drop(SEG)
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float = 0.2,
                      seed: int = 44, flag: str = "is_test") -> DataFrame:
     """Add ``flag`` = 1 for round(test_fraction * n_c) rows of every class."""
-    ranked = _ranked(df, key, [label], seed, group_size="__n")
-    test = F.col(RANK) <= _share(F.col("__n"), test_fraction)
-    return ranked.withColumn(flag, test.cast("int")).drop(HASH, RANK, "__n")
+    out = _segmented(df, key, [label], seed, lambda gn, gmin: [_share(gn, test_fraction)])
+    return out.withColumn(flag, (F.col(SEG) == 0).cast("int")).drop(SEG)
 
 
 def split(df: DataFrame, key: str, label: str, test_fraction: float = 0.2, seed: int = 44):
@@ -60,9 +62,10 @@ def split(df: DataFrame, key: str, label: str, test_fraction: float = 0.2, seed:
 
 
 def folds(df: DataFrame, key: str, label: str, k: int, seed: int = 44, name: str = "fold") -> DataFrame:
-    """Stratified fold number 0..k-1 (class ranks dealt round-robin)."""
-    ranked = _ranked(df, key, [label], seed)
-    return ranked.withColumn(name, ((F.col(RANK) - 1) % k).cast("int")).drop(HASH, RANK)
+    """Stratified fold 0..k-1; fold f holds ranks floor(n_c f/k)+1 .. floor(n_c (f+1)/k) of each class."""
+    cuts = lambda gn, gmin: [F.floor(gn * j / k).cast("bigint") for j in range(1, k)]
+    return _segmented(df, key, [label], seed, cuts).withColumnRenamed(SEG, name) \
+        .withColumn(name, F.col(name).cast("int"))
 
 
 def downsample(df: DataFrame, key: str, label: str, seed: int = 44) -> DataFrame:
@@ -70,12 +73,8 @@ def downsample(df: DataFrame, key: str, label: str, seed: int = 44) -> DataFrame
 
     The minority keeps all rows; the majority keeps its n_min first rows in hash
     order.  The reference's union of the two parts is this one filter."""
-    ranked = _ranked(df, key, [label], seed)
-    sizes = group_sizes(df, [label], "__n")
-    # one row per class: a single-task window and a broadcast are fine
-    smallest = sizes.withColumn("__min", F.min("__n").over(Window.partitionBy()))
-    joined = ranked.join(F.broadcast(smallest), label)
-    return joined.where(F.col(RANK) <= F.col("__min")).drop(HASH, RANK, "__n", "__min")
+    out = _segmented(df, key, [label], seed, lambda gn, gmin: [gmin])
+    return out.where(F.col(SEG) == 0).drop(SEG)
 
 
 def shuffled(df: DataFrame, seed: int = 44) -> DataFrame:

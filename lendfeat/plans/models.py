@@ -38,7 +38,8 @@ def _clients(spark: SparkSession, sf: str):
     lo = loans(spark, sf)
     fm = ClientFeatures().fit(lo)
     tg = targets(spark, sf).withColumnRenamed("flag", "target")
-    feats = fm.transform(lo).join(tg, "id", "inner")
+    # the split reads its input three times: cut the feature aggregate's lineage first
+    feats = fm.transform(lo).join(tg, "id", "inner").checkpoint()
     marked = S.stratified_split(feats, "id", "target", TEST_FRACTION, SEED).checkpoint()
     return fm, marked
 

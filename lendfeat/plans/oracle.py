@@ -270,7 +270,9 @@ def oracle_sql() -> dict[str, str]:
             f"(SELECT *, {sample_h} AS h FROM loans)) WHERE r <= {Q.SAMPLE_ROWS}"),
         "stratified_split": with_views("SELECT id, target, is_test FROM sp", extra=_split_ctes(Q.SEED)),
         "folds": with_views(
-            f"SELECT id, target, CAST((rnk - 1) % {Q.N_FOLDS} AS INTEGER) AS fold FROM rk",
+            "SELECT id, target, CAST(" + " + ".join(
+                f"CASE WHEN rnk > (n_c * {j}) // {Q.N_FOLDS} THEN 1 ELSE 0 END" for j in range(1, Q.N_FOLDS))
+            + " AS INTEGER) AS fold FROM rk",
             extra=_split_ctes(Q.SEED)),
         "longest_overdue_run": with_views(f"SELECT id, rn, num_loan_months FROM ({_per_loan_features()})"),
         "overdue_fraction": with_views(f"SELECT id, rn, frac_loan_months FROM ({_per_loan_features()})"),

@@ -275,7 +275,9 @@ def q_folds(spark, sf):
 
 
 def q_downsample_union(spark, sf):
-    train, _ = S.split(_clients_with_target(spark, sf), "id", "target", TEST_FRACTION, SEED)
+    marked = S.stratified_split(_clients_with_target(spark, sf), "id", "target", TEST_FRACTION, SEED)
+    # downsampling reads the training part three times: cut the split's lineage first
+    train = marked.checkpoint().where(F.col("is_test") == 0).drop("is_test")
     return S.downsample(train, "id", "target", SEED)
 
 

@@ -76,3 +76,22 @@ def test_confusion_and_log_loss(spark):
     import math
     want = -(math.log(0.8) + math.log(0.3) + 2 * math.log(0.9)) / 4
     assert E.log_loss(df, "y", "p").first()["log_loss"] == pytest.approx(want)
+
+
+def test_segment_by_rank_matches_window_with_coarse_buckets(spark):
+    from lendfeat.operators.ranking import segment_by_rank
+
+    # group 0 is hot; buckets of 50 order values hold many rows, so cuts fall inside buckets
+    rows = [(0 if i % 10 else i % 7, i, (i * 7919) % 1000) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g int, k bigint, o int")
+    cuts = lambda gn, gmin: [F.floor(gn * 0.3).cast("bigint"), F.floor(gn * 0.7).cast("bigint"), gmin]
+    got = segment_by_rank(df, ["g"], [F.col("o"), F.col("k")], F.floor(F.col("o") / 50), cuts, name="s")
+    w = Window.partitionBy("g").orderBy("o", "k")
+    n = F.count(F.lit(1)).over(Window.partitionBy("g"))
+    plain = df.withColumn("r", F.row_number().over(w)).withColumn("n", n)
+    gmin = plain.groupBy("g").agg(F.max("n").alias("n")).agg(F.min("n")).first()[0]
+    want = plain.withColumn("s", (F.col("r") > F.floor(F.col("n") * 0.3)).cast("int")
+                            + (F.col("r") > F.floor(F.col("n") * 0.7)).cast("int")
+                            + (F.col("r") > F.lit(gmin)).cast("int"))
+    assert sorted(map(tuple, got.select("g", "k", "s").collect())) == \
+        sorted(map(tuple, want.select("g", "k", "s").collect()))
