@@ -23,6 +23,7 @@ HASH_MULTIPLIER = 2654435761
 HASH_MODULUS = 4294967296  # 2^32
 ID_MODULUS = 2147483648  # 2^31, keeps the product inside BIGINT
 HASH_BUCKET_WIDTH = 65536  # 2^16 buckets per group for hash orders
+MAX_BROADCAST_ROWS = 2_000_000  # largest histogram shipped to every executor
 
 
 def seeded_hash(key: str | Column, seed: int) -> Column:
@@ -92,8 +93,8 @@ def segment_by_rank(df: DataFrame, by: list[str], order: list, bucket: Column,
     lies wholly between two cuts and is settled by a broadcast join with the
     histogram, without moving its rows.  The rows of straddling buckets (at
     most one bucket per cut and group) are the only ones shuffled and sorted.
-    The input is read three times (histogram, settled rows, straddling rows):
-    checkpoint an expensive input first.
+    The histogram is checkpointed, then the input is read twice more (settled
+    rows, straddling rows): checkpoint an expensive input first.
     """
     keyed = df.withColumn("__b", bucket)
     keys = [*by, "__b"]
@@ -111,8 +112,12 @@ def segment_by_rank(df: DataFrame, by: list[str], order: list, bucket: Column,
     h = h.select(*[F.col(k).alias(f"__o_{k}") for k in keys], "__off",
                  seg(F.col("__off") + 1).alias("__first"), seg(F.col("__off") + F.col("__n")).alias("__last"),
                  *[p.alias(f"__cut{i}") for i, p in enumerate(points)])
+    # The histogram is small (groups x buckets): materialise it once, check its
+    # size, and broadcast it only under the bound; beyond it, a normal join.
+    h = h.checkpoint()
+    small = h.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
     cond = [keyed[k].eqNullSafe(h[f"__o_{k}"]) for k in keys]
-    joined = keyed.join(F.broadcast(h), cond, "inner")
+    joined = keyed.join(F.broadcast(h) if small else h, cond, "inner")
     settled = joined.where(F.col("__first") == F.col("__last")).withColumn(name, F.col("__first"))
     inside = Window.partitionBy(*keys).orderBy(*order)
     rank = F.col("__off") + F.row_number().over(inside)

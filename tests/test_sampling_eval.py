@@ -95,3 +95,13 @@ def test_segment_by_rank_matches_window_with_coarse_buckets(spark):
                             + (F.col("r") > F.lit(gmin)).cast("int"))
     assert sorted(map(tuple, got.select("g", "k", "s").collect())) == \
         sorted(map(tuple, want.select("g", "k", "s").collect()))
+
+
+def test_split_same_without_broadcast(spark, monkeypatch):
+    from lendfeat.operators import ranking
+
+    df = _clients(spark, 400, 40)
+    a = sorted(map(tuple, S.stratified_split(df, "id", "target", 0.2, 44).collect()))
+    monkeypatch.setattr(ranking, "MAX_BROADCAST_ROWS", 1)  # histogram over the bound: plain join
+    b = sorted(map(tuple, S.stratified_split(df, "id", "target", 0.2, 44).collect()))
+    assert a == b
