@@ -17,16 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lendfeat.functions.sqltext import quote
 from lendfeat.roles import INACTIVE_CODE, OVERDUE_CODES, status_index
 
 _OVERDUE = ", ".join(str(c) for c in OVERDUE_CODES)
 
 
-def quote(name: str) -> str:
-    """A column name as a SQL identifier."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def shifted_status(columns, shifted) -> dict[str, Column]:
     """Expressions that move the mis-coded status columns down by one."""
     return {c: F.expr(f"{quote(c)} - 1") for c in columns if c in set(shifted)}

@@ -23,7 +23,8 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendfeat.functions.history import quote, status_features, status_vector
+from lendfeat.functions.history import status_features, status_vector
+from lendfeat.functions.sqltext import literal, quote
 from lendfeat.operators.profile import learn_levels
 from lendfeat.roles import (DERIVED_NUMERIC, EXCLUDED_COLS, FLAG_COLS, ID_COL, SEQ_COL,
                             SHIFTED_STATUS_COLS, STATUS_PREFIX, ColumnRoles)
@@ -42,15 +43,6 @@ AGG_FUNCS = {
 }
 
 
-def sql_literal(v) -> str:
-    """A level value as a SQL literal (numbers as is, strings quoted)."""
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    if isinstance(v, (int, float)):
-        return repr(v)
-    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def level_name(col: str, level) -> str:
     """Output name of one level's column."""
     return f"{col}_{level}"
@@ -76,7 +68,7 @@ def level_count_aggs(levels: dict[str, list], shifted=(), shift_first: bool = Fa
     out = []
     for col, lv in levels.items():
         value = f"({quote(col)} - 1)" if (shift_first and col in set(shifted)) else quote(col)
-        out.extend(F.expr(f"count_if({value} = {sql_literal(v)}) AS {quote(level_name(col, v))}") for v in lv)
+        out.extend(F.expr(f"count_if({value} = {literal(v)}) AS {quote(level_name(col, v))}") for v in lv)
     return out
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendfeat.functions.history import quote
+from lendfeat.functions.sqltext import literal, quote
 
 # Fixed values of the statistics (Bergsma-Wicher correction and the 2x2 rule).
 V_EPSILON = 1e-6
@@ -32,16 +32,9 @@ BAND_LOW, BAND_HIGH = 0.7, 0.999
 # predicates
 # ---------------------------------------------------------------------------
 
-def _string(v: str) -> str:
-    """A Python string as a SQL string literal."""
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def any_equals(cols, value) -> Column:
     """true when any of ``cols`` equals ``value`` (NULL compares false)."""
-    from lendfeat.operators.clients import sql_literal
-
-    lit = sql_literal(value)
+    lit = literal(value)
     return F.expr(" OR ".join(f"coalesce({quote(c)} = {lit}, false)" for c in cols))
 
 
@@ -176,7 +169,7 @@ def cooccurrence_cells(df: DataFrame, cols, max_levels: int = 1000) -> DataFrame
     cells = (narrow.mapInPandas(_cooccurrence_fn(cols, max_levels),
                                 "px int, vx string, py int, vy string, n long")
              .groupBy("px", "vx", "py", "vy").agg(F.sum("n").alias("n")))
-    names = "array(" + ", ".join(_string(c) for c in cols) + ")"
+    names = "array(" + ", ".join(literal(c) for c in cols) + ")"
     return cells.selectExpr("px", f"element_at({names}, px + 1) AS cx", "vx",
                             "py", f"element_at({names}, py + 1) AS cy", "vy", "n")
 
@@ -262,7 +255,7 @@ def fisher_scores(df: DataFrame, features, label: str) -> DataFrame:
     per_class = df.groupBy(label).agg(*[
         F.expr(f"named_struct('n', count({quote(f)}), 'mu', avg({quote(f)}), 'var', var_pop({quote(f)})) AS s{i}")
         for i, f in enumerate(features)])
-    structs = ", ".join(f"named_struct('feature', {_string(f)}, 'n', s{i}.n, 'mu', s{i}.mu, 'var', s{i}.var)"
+    structs = ", ".join(f"named_struct('feature', {literal(f)}, 'n', s{i}.n, 'mu', s{i}.mu, 'var', s{i}.var)"
                         for i, f in enumerate(features))
     long = per_class.selectExpr(f"explode(array({structs})) AS s").select("s.*").where(F.col("n") > 0)
     w = Window.partitionBy("feature")
@@ -294,7 +287,7 @@ def fisher_scores_by_key(df: DataFrame, features, key: str, labels: DataFrame, l
     flat = df.groupBy(key).agg(*aggs)
     per_class = flat.join(labels.select(key, label), key, "left").groupBy(label).agg(*[
         F.expr(f"sum({p}_{i}) AS {p}_{i}") for i in range(len(features)) for p in ("n", "s1", "s2")])
-    structs = ", ".join(f"named_struct('feature', {_string(f)}, 'n', n_{i}, 's1', s1_{i}, 's2', s2_{i})"
+    structs = ", ".join(f"named_struct('feature', {literal(f)}, 'n', n_{i}, 's1', s1_{i}, 's2', s2_{i})"
                         for i, f in enumerate(features))
     long = per_class.selectExpr(f"explode(array({structs})) AS s").select("s.*").where(F.col("n") > 0)
     mu_c = F.col("s1") / F.col("n")

@@ -48,26 +48,21 @@ def hash_bucket(h: str | Column) -> Column:
 
 
 def rank_within(df: DataFrame, by: list[str], order: list, buckets: list[Column], *,
-                name: str = "rank", bounded_buckets: bool = False, group_size: str | None = None) -> DataFrame:
+                name: str = "rank") -> DataFrame:
     """Add ``name`` = exact 1-based ``row_number()`` within ``by`` ordered by ``order``.
 
     ``buckets`` must sort the same way as ``order`` (a row with a smaller bucket
     tuple sorts first) and ``order`` must be unique within a group for the result
-    to be deterministic.  Set ``bounded_buckets`` when the number of (group,
-    bucket) pairs has a fixed bound, so the offset table may be broadcast.
-    ``group_size`` names an optional output column with the group's row count,
-    taken from the same histogram (no second pass over the data).
+    to be deterministic.  The offset table has one row per (group, bucket); the
+    planner decides how to join it (AQE broadcasts it only once measured small).
     """
     bcols = [f"__b{i}" for i in range(len(buckets))]
     keyed = df.withColumns(dict(zip(bcols, buckets)))
     keys = [*by, *bcols]
     hist = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*by).orderBy(*bcols).rowsBetween(Window.unboundedPreceding, -1)
-    extra = [F.sum("__n").over(Window.partitionBy(*by)).alias(group_size)] if group_size else []
     offsets = hist.select(*[F.col(k).alias(f"__o_{k}") for k in keys],
-                          F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"), *extra)
-    if bounded_buckets:
-        offsets = F.broadcast(offsets)
+                          F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     cond = [keyed[k].eqNullSafe(offsets[f"__o_{k}"]) for k in keys]
     joined = keyed.join(offsets, cond, "inner")
     inside = Window.partitionBy(*keys).orderBy(*order)
@@ -75,11 +70,6 @@ def rank_within(df: DataFrame, by: list[str], order: list, buckets: list[Column]
     return ranked.drop(*bcols, "__off", *[f"__o_{k}" for k in keys])
 
 
-def group_sizes(df: DataFrame, by: list[str], name: str = "n") -> DataFrame:
-    """Rows per group; partial aggregation keeps hot groups cheap."""
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
-
-
 def segment_by_rank(df: DataFrame, by: list[str], order: list, bucket: Column,
                     cuts: Callable[[Column, Column], list[Column]], *, name: str = "segment") -> DataFrame:
     """Add ``name`` = how many cut points lie below the row's exact rank in its group.
