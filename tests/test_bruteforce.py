@@ -2,7 +2,6 @@
 
 import numpy as np
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from lendfeat.operators.clients import ClientFeatures

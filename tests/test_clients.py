@@ -1,6 +1,5 @@
 """Client features (D3): known aggregate, has_loans modes, train/serve alignment, persistence."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from lendfeat.operators.clients import ClientFeatures, ClientFeaturesModel

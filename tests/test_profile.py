@@ -1,7 +1,5 @@
 """Cramer's V, chi-square, Fisher score, value counts: known answers and properties."""
 
-import math
-
 import pytest
 from pyspark.sql import functions as F
 
