@@ -70,7 +70,7 @@ def targets_from_loans(loans: DataFrame) -> DataFrame:
 _MATERIALIZED: dict[tuple[str, str, str], str] = {}
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def _table_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     """Write a derived table once per application to the shared checkpoint folder.
 
     Queries then scan parquet (pruning and pushdown apply) instead of
@@ -83,16 +83,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
         path = scratch_path(spark, name)
         build().write.mode("overwrite").parquet(path)
         _MATERIALIZED[key] = path
-    return spark.read.parquet(path)
+    return path
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    return spark.read.parquet(_table_path(spark, sf_dir, name, build))
 
 
 def orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
 
 
+def loans_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the written loan table (its parquet part files)."""
+    return _table_path(spark, sf_dir, "loans", lambda: loans_from_orders(orders_table(spark, sf_dir)))
+
+
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The loan-history table for a test-data folder (written once, then scanned)."""
-    return _table(spark, sf_dir, "loans", lambda: loans_from_orders(orders_table(spark, sf_dir)))
+    return spark.read.parquet(loans_path(spark, sf_dir))
 
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:

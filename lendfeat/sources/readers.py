@@ -25,15 +25,9 @@ def read_parts(spark: SparkSession, paths, schema: StructType | str | None = Non
     return reader.parquet(*list(paths))
 
 
-def part_paths(base: str, n: int, column: str = "part") -> list[str]:
-    """Paths of the numbered parts written by ``write_parts``."""
-    return [f"{base.rstrip('/')}/{column}={i}" for i in range(n)]
-
-
-def write_parts(df: DataFrame, base: str, part: str, column: str = "part") -> None:
-    """Write ``df`` as numbered parts (one directory per value of ``part``) in one job."""
-    df.withColumn(column, df[part] if isinstance(part, str) else part) \
-      .write.mode("overwrite").partitionBy(column).parquet(base)
+def part_files(base: str) -> str:
+    """Glob of the numbered part files Spark writes into a table folder."""
+    return f"{base.rstrip('/')}/part-*.parquet"
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str = TARGET_SCHEMA,
