@@ -1,8 +1,8 @@
 """Compare registered Spark queries with their DuckDB oracle SQL.
 
 Usage: python tests/oracle_check.py [sf_dir] [name ...]
-Checks row count, column names and an order-insensitive comparison of values
-(doubles rounded to 6 places), the same three things the driver records.
+Checks row count, column names and types, and an order-insensitive comparison
+of values (doubles rounded to 6 places).
 """
 
 from __future__ import annotations
@@ -18,6 +18,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
+
+
 def duck(sf_dir: str):
     import duckdb
 
@@ -58,17 +62,20 @@ def compare(spark, con, sf_dir, name, fn, sql):
     t1 = time.time()
     if sql is None:
         return dict(name=name, rows=len(srows), oracle=None, sec=round(t1 - t0, 2))
-    cur = con.execute(sql)
-    ocols = [d[0] for d in cur.description]
-    orows = cur.fetchall()
+    rel = con.sql(sql)
+    ocols, otypes = rel.columns, [str(t) for t in rel.types]
+    orows = rel.fetchall()
     res = dict(name=name, rows=len(srows), orows=len(orows), sec=round(t1 - t0, 2))
     res["cols_ok"] = sorted(scols) == sorted(ocols)
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in sdf.schema.fields}
+    res["types_ok"] = all(stypes.get(c) == t for c, t in zip(ocols, otypes))
     if not res["cols_ok"]:
         res["cols"] = (sorted(set(scols) - set(ocols))[:8], sorted(set(ocols) - set(scols))[:8])
         res["ok"] = False
         return res
     a, b = normalize(srows, scols), normalize(orows, ocols)
-    res["ok"] = a == b
+    res["ok"] = a == b and res["types_ok"]
     if not res["ok"]:
         diff = [x for x in a if x not in set(b)][:2]
         res["spark_only"] = diff
