@@ -74,7 +74,9 @@ def count_equal(status, code: int) -> Column:
 def longest_overdue_run(status) -> Column:
     """Length of the longest run of consecutive overdue months.
 
-    Folds the status array once, carrying (current run, best run)."""
+    Folds the status array once, carrying (current run, best run).  Measured
+    faster than the closed form max_k(k - last non-overdue index <= k), whose
+    quadratic number of terms outweighs the fold's interpreted lambda."""
     arr = ", ".join(overdue_sql(v) for v in _vector(status).values())
     step = "IF(x, acc.cur + 1, 0)"
     return F.expr(
