@@ -50,10 +50,14 @@ def _long(df: DataFrame, cols) -> DataFrame:
     return narrow.unpivot([], list(cols), "column", "value")
 
 
-def value_counts(df: DataFrame, cols) -> DataFrame:
-    """(column, value, n) for every column at once; NULLs dropped."""
-    return (_long(df, cols).where(F.col("value").isNotNull())
-            .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+def value_counts(df: DataFrame, cols, ordered: bool = False) -> DataFrame:
+    """(column, value, n) for every column at once; NULLs dropped.
+
+    ``ordered`` sorts like the reference's listing: by column, most frequent
+    value first (ties by value)."""
+    out = (_long(df, cols).where(F.col("value").isNotNull())
+           .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    return out.orderBy("column", F.col("n").desc(), "value") if ordered else out
 
 
 def learn_levels(df: DataFrame, cols, max_levels: int = 1000) -> dict[str, list]:

@@ -175,7 +175,7 @@ def q_distinct_clients(spark, sf):
 
 def q_value_counts(spark, sf):
     lo = loans(spark, sf)
-    return P.value_counts(lo, lo.columns)
+    return P.value_counts(lo, lo.columns, ordered=True)
 
 
 def q_value_count_matrix(spark, sf):
