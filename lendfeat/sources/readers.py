@@ -44,3 +44,15 @@ def write_parquet(df: DataFrame, path: str) -> None:
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     """Predictions to CSV with a header and no index."""
     df.write.mode("overwrite").option("header", header).csv(path)
+
+
+def write_manifest(spark: SparkSession, names, path: str) -> None:
+    """A feature manifest as a text file, one name per line, in order."""
+    rows = [(i, n) for i, n in enumerate(names)]
+    (spark.createDataFrame(rows, "pos int, name string").orderBy("pos")
+     .coalesce(1).select("name").write.mode("overwrite").text(path))
+
+
+def read_manifest(spark: SparkSession, path: str) -> list[str]:
+    """The ordered feature names of a manifest file (one column's worth of names, bounded)."""
+    return [r[0] for r in spark.read.text(path).collect() if r[0]]

@@ -99,3 +99,15 @@ def test_invariant_to_partitioning(spark):
     a = sorted(map(tuple, model.transform(lo).collect()))
     b = sorted(map(tuple, model.transform(lo.repartition(3).orderBy(F.rand(1))).collect()))
     assert a == b
+
+
+def test_manifest_file_round_trip(spark, tmp_path):
+    from lendfeat.sources.readers import read_manifest, write_manifest
+
+    df = _frame(spark, [_loan(1, 1, 1), _loan(2, 1, 2)])
+    model = ClientFeatures().fit(df)
+    path = str(tmp_path / "features")
+    write_manifest(spark, model.getManifest(), path)
+    names = read_manifest(spark, path)
+    assert names == model.getManifest()
+    assert model.setManifest(names[:3]).transform(df).columns == ["id", *names[:3]]
