@@ -115,6 +115,15 @@ def q_mlp_scores(spark, sf):
     return M.scored(M.load_model(path), test)
 
 
+def q_mlp_epochs(spark, sf):
+    """M13 + M14: per-iteration training objective of the downsampled network, and
+    its held-out log loss and AUC (one fit of the full-size preset)."""
+    fm, marked = _clients(spark, sf)
+    train, test = _parts(marked)
+    balanced = S.downsample(train, "id", "target", SEED).checkpoint()
+    return M.mlp_history(spark, balanced, test, fm.getManifest())
+
+
 def q_saved_model_scores(spark, sf):
     """M15 + S4-S8: fit, save, load, score the held-out clients' loans, write CSV, read back."""
     fm, marked = _clients(spark, sf)
@@ -138,6 +147,7 @@ MODEL_QUERIES = {
     "cv_results": q_cv_results,
     "importances": q_importances,
     "mlp_scores": q_mlp_scores,
+    "mlp_epochs": q_mlp_epochs,
     "early_stopping_scores": q_early_stopping_scores,
     "saved_model_scores": q_saved_model_scores,
 }
