@@ -26,6 +26,7 @@ from lendfeat.functions.sqltext import literal, quote
 V_EPSILON = 1e-6
 YATES = 0.5
 BAND_LOW, BAND_HIGH = 0.7, 0.999
+MAX_TOTAL_LEVELS = 4096  # one co-occurrence task: <= 4096^2 int64 counts (134 MB)
 
 
 # ---------------------------------------------------------------------------
@@ -115,12 +116,14 @@ def class_ratio(df: DataFrame, label: str, subset: Column | None = None) -> Data
 # Cramer's V and chi-square for all column pairs
 # ---------------------------------------------------------------------------
 
-def _cooccurrence_fn(cols, max_levels: int):
+def _cooccurrence_fn(cols, max_levels: int, max_total: int):
     """Per-partition X'X of the one-hot rows, as non-zero (px, vx, py, vy, n) cells, px <= py.
 
     Levels are numbered in order of first sight inside the task (no separate
-    pass to learn them); a column with more than ``max_levels`` values in one
-    task fails the job, which bounds task memory by (columns x max_levels)^2."""
+    pass to learn them).  A column with more than ``max_levels`` values, or more
+    than ``max_total`` levels over all columns, fails the job: task memory stays
+    below max_total^2 x 8 bytes for the counts plus batch rows x max_total x 4
+    bytes for one one-hot batch."""
 
     def run(batches):
         ids: list[dict] = [dict() for _ in cols]      # per column: value -> global id
@@ -135,6 +138,9 @@ def _cooccurrence_fn(cols, max_levels: int):
                     if v not in ids[pos]:
                         if len(ids[pos]) >= max_levels:
                             raise ValueError(f"column {c} has more than {max_levels} levels")
+                        if len(owner) >= max_total:
+                            raise ValueError(f"more than {max_total} levels over all columns; "
+                                             "profile fewer columns at once")
                         ids[pos][v] = len(owner)
                         owner.append((pos, v))
             size = len(owner)
@@ -163,14 +169,15 @@ def _cooccurrence_fn(cols, max_levels: int):
     return run
 
 
-def cooccurrence_cells(df: DataFrame, cols, max_levels: int = 1000) -> DataFrame:
+def cooccurrence_cells(df: DataFrame, cols, max_levels: int = 1000,
+                       max_total_levels: int = MAX_TOTAL_LEVELS) -> DataFrame:
     """Contingency cells of every column pair (cx <= cy in column order), one pass.
 
     Columns: px, cx, vx, py, cy, vy, n (values as strings).  Rows with a NULL in
     either column of a pair simply contribute nothing to that pair."""
     cols = list(cols)
     narrow = df.selectExpr(*[f"CAST({quote(c)} AS STRING) AS {quote(c)}" for c in cols])
-    cells = (narrow.mapInPandas(_cooccurrence_fn(cols, max_levels),
+    cells = (narrow.mapInPandas(_cooccurrence_fn(cols, max_levels, max_total_levels),
                                 "px int, vx string, py int, vy string, n long")
              .groupBy("px", "vx", "py", "vy").agg(F.sum("n").alias("n")))
     names = "array(" + ", ".join(literal(c) for c in cols) + ")"
@@ -228,9 +235,10 @@ def mirrored(stats: DataFrame, value_cols) -> DataFrame:
     return stats.select(F.explode(both).alias("e")).select("e.*")
 
 
-def association_matrix(df: DataFrame, cols, max_levels: int = 1000) -> DataFrame:
+def association_matrix(df: DataFrame, cols, max_levels: int = 1000,
+                       max_total_levels: int = MAX_TOTAL_LEVELS) -> DataFrame:
     """A9 + A10: (col_x, col_y, n, r, k, chi2, v) for all ordered column pairs."""
-    stats = pair_statistics(cooccurrence_cells(df, cols, max_levels))
+    stats = pair_statistics(cooccurrence_cells(df, cols, max_levels, max_total_levels))
     return mirrored(stats, ["n", "r", "k", "chi2", "v"])
 
 

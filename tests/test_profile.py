@@ -131,3 +131,10 @@ def test_cooccurrence_level_bound(spark):
     df = spark.range(500).selectExpr("id AS a", "id % 2 AS b")  # ~60 values per task
     with pytest.raises(Exception, match="more than 10 levels"):
         P.association_matrix(df, ["a", "b"], max_levels=10).collect()
+
+
+def test_cooccurrence_total_level_bound(spark):
+    df = spark.range(400).selectExpr("id % 40 AS a", "(id * 7) % 40 AS b")  # 80 levels in every task
+    with pytest.raises(Exception, match="more than 50 levels over all columns"):
+        P.association_matrix(df.coalesce(1), ["a", "b"], max_total_levels=50).collect()
+    assert P.association_matrix(df, ["a", "b"], max_total_levels=100).count() == 4
