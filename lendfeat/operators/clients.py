@@ -159,12 +159,14 @@ class _ClientParams(Params):
     hasLoansMode = Param(Params._dummy(), "hasLoansMode", "all_loans or any_loan", TypeConverters.toString)
     shiftBeforeEncode = Param(Params._dummy(), "shiftBeforeEncode", "count levels of shifted codes", TypeConverters.toBoolean)
     maxLevels = Param(Params._dummy(), "maxLevels", "largest number of levels per categorical column", TypeConverters.toInt)
+    maxFeatures = Param(Params._dummy(), "maxFeatures", "largest number of output feature columns", TypeConverters.toInt)
 
     def __init__(self):
         super().__init__()
         self._setDefault(idCol=ID_COL, seqCol=SEQ_COL, flagCols=list(FLAG_COLS), excludedCols=list(EXCLUDED_COLS),
                          statusPrefix=STATUS_PREFIX, shiftedCols=list(SHIFTED_STATUS_COLS),
-                         hasLoansMode="all_loans", shiftBeforeEncode=False, maxLevels=1000)
+                         hasLoansMode="all_loans", shiftBeforeEncode=False, maxLevels=1000,
+                         maxFeatures=5000)
 
     def roles_for(self, columns) -> ColumnRoles:
         return ColumnRoles.from_columns(
@@ -193,9 +195,13 @@ class ClientFeatures(Estimator, _ClientParams, DefaultParamsReadable, DefaultPar
         if shift:
             source = dataset.withColumns({c: F.col(c) - 1 for c in roles.shifted})
         levels = learn_levels(source, list(roles.categorical), self.getOrDefault("maxLevels"))
+        names = output_names(roles, levels)
+        if len(names) > self.getOrDefault("maxFeatures"):
+            raise ValueError(f"{len(names)} feature columns exceed maxFeatures={self.getOrDefault('maxFeatures')}; "
+                             "lower maxLevels or exclude high-cardinality columns")
         model = ClientFeaturesModel()
         self._copyValues(model)
-        model._set(levelsJson=json.dumps(levels), manifest=output_names(roles, levels))
+        model._set(levelsJson=json.dumps(levels), manifest=names)
         return model
 
 

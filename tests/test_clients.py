@@ -111,3 +111,11 @@ def test_manifest_file_round_trip(spark, tmp_path):
     names = read_manifest(spark, path)
     assert names == model.getManifest()
     assert model.setManifest(names[:3]).transform(df).columns == ["id", *names[:3]]
+
+
+def test_width_bound(spark):
+    import pytest
+
+    df = _frame(spark, [_loan(1, 1, 1), _loan(2, 1, 2)])
+    with pytest.raises(ValueError, match="exceed maxFeatures"):
+        ClientFeatures(maxFeatures=10).fit(df)
