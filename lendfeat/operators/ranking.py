@@ -77,7 +77,8 @@ def segment_by_rank(df: DataFrame, by: list[str], order: list, bucket: Column,
     ``cuts(group_size, smallest_group_size)`` gives the cut points of a group as
     expressions of its size.  Rows are ranked by ``order`` inside ``by``;
     ``bucket`` must be monotone in that order and take a bounded number of
-    values per group (the histogram is broadcast).
+    values per group; the (group, bucket) histogram is broadcast while it has at
+    most ``MAX_BROADCAST_ROWS`` rows and joined normally beyond that.
 
     Only buckets that straddle a cut point need real ranks: every other bucket
     lies wholly between two cuts and is settled by a broadcast join with the
