@@ -288,8 +288,9 @@ def oracle_sql() -> dict[str, str]:
   LEFT JOIN (SELECT target, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS prediction, COUNT(*) AS n FROM sc GROUP BY ALL) c
   ON g.target = c.target AND g.prediction = c.prediction""", extra=f"sc AS ({SCORES})"),
         "log_loss": with_views(
-            """SELECT ROUND(AVG(-(CAST(target AS DOUBLE) * LN(pc) + (1.0 - target) * LN(1.0 - pc))), 6) AS log_loss
-  FROM (SELECT target, LEAST(GREATEST(p, CAST(1e-15 AS DOUBLE)), 1.0 - CAST(1e-15 AS DOUBLE)) AS pc FROM sc)""",
+            """SELECT ROUND(AVG(-(CAST(target AS DOUBLE) * GREATEST(LN(p), -100.0)
+                    + (1.0 - target) * GREATEST(LN(1.0 - p), -100.0))), 6) AS log_loss
+  FROM sc""",
             extra=f"sc AS ({SCORES})"),
     }
     return sql

@@ -105,3 +105,9 @@ def test_split_same_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(ranking, "MAX_BROADCAST_ROWS", 1)  # histogram over the bound: plain join
     b = sorted(map(tuple, S.stratified_split(df, "id", "target", 0.2, 44).collect()))
     assert a == b
+
+
+def test_log_loss_floors_certain_mistakes(spark):
+    df = spark.createDataFrame([(1, 0.0), (0, 0.0), (0, 1.0), (1, 1.0)], "y int, p double")
+    # two certain mistakes cost 100 each, two certain hits cost 0
+    assert E.log_loss(df, "y", "p").first()["log_loss"] == pytest.approx(50.0)
