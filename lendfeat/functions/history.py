@@ -96,7 +96,7 @@ def credit_history_length(status) -> Column:
     """Highest month index whose code is not 3, else 0 (an index, not a count)."""
     parts = ", ".join(f"CASE WHEN {active_sql(v)} THEN {status_index(name)} ELSE 0 END"
                       for name, v in _vector(status).items())
-    return F.expr(f"greatest({parts}, 0)")
+    return F.expr(f"greatest({parts}, 0)" if parts else "0")
 
 
 def status_features(status) -> dict[str, Column]:

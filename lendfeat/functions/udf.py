@@ -21,13 +21,12 @@ def row_function(fn: Callable[[np.ndarray], np.ndarray], return_type: str, cols)
     """``fn`` maps a (rows x len(cols)) array to one value per row."""
 
     @F.pandas_udf(return_type)
-    def apply(block: pd.Series) -> pd.Series:
-        if len(block) == 0:
+    def apply(*columns: pd.Series) -> pd.Series:
+        if len(columns[0]) == 0:
             return pd.Series([], dtype=object)
-        mat = np.stack(block.to_numpy())
-        return pd.Series(fn(mat))
+        return pd.Series(fn(np.column_stack([c.to_numpy() for c in columns])))
 
-    return apply(F.array(*[F.col(c) for c in cols]))
+    return apply(*[F.col(c) for c in cols])
 
 
 def chunked_apply(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:

@@ -86,7 +86,8 @@ def has_loans_sql(roles: ColumnRoles, mode: str = "all_loans") -> str:
     if mode == "any_loan":
         return "CAST(coalesce(`__any_overdue`, 0) AS INT)"
     sums = ", ".join(quote(c) for c in roles.overdue_flags)
-    return f"CAST(CASE WHEN least({sums}) = 0 THEN 1 ELSE 0 END AS INT)"
+    smallest = f"least({sums})" if len(roles.overdue_flags) > 1 else sums
+    return f"CAST(CASE WHEN {smallest} = 0 THEN 1 ELSE 0 END AS INT)"
 
 
 def has_loans_col(roles: ColumnRoles, mode: str = "all_loans") -> Column:
@@ -94,7 +95,8 @@ def has_loans_col(roles: ColumnRoles, mode: str = "all_loans") -> Column:
 
 
 def any_overdue_agg(roles: ColumnRoles) -> Column:
-    return F.max(F.when(F.least(*[F.col(c) for c in roles.overdue_flags]) == 0, F.lit(1))
+    flags = [F.col(c) for c in roles.overdue_flags]
+    return F.max(F.when((F.least(*flags) if len(flags) > 1 else flags[0]) == 0, F.lit(1))
                  .otherwise(F.lit(0))).alias("__any_overdue")
 
 

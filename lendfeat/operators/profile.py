@@ -262,9 +262,10 @@ def fisher_scores(df: DataFrame, features, label: str) -> DataFrame:
     """sum_c n_c (mu_c - mu)^2 / sum_c n_c var_c per feature, in one pass.
 
     One aggregate grouped by class (K rows out, partial-aggregated), then the
-    K x features table is unpivoted and combined.  ``rank`` 1 = highest score."""
+    K x features table is unpivoted and combined.  ``rank`` 1 = highest score.
+    Rows without a label are left out."""
     features = list(features)
-    per_class = df.groupBy(label).agg(*[
+    per_class = df.where(F.col(label).isNotNull()).groupBy(label).agg(*[
         F.expr(f"named_struct('n', count({quote(f)}), 'mu', avg({quote(f)}), 'var', var_pop({quote(f)})) AS s{i}")
         for i, f in enumerate(features)])
     structs = ", ".join(f"named_struct('feature', {literal(f)}, 'n', s{i}.n, 'mu', s{i}.mu, 'var', s{i}.var)"
@@ -285,28 +286,32 @@ def fisher_scores(df: DataFrame, features, label: str) -> DataFrame:
 def fisher_scores_by_key(df: DataFrame, features, key: str, labels: DataFrame, label: str) -> DataFrame:
     """A11 when the label lives on another table keyed by ``key`` (one label per client).
 
-    Rows are first reduced per key to (count, sum, sum of squares) of every
-    feature -- partial aggregation, so a key holding a third of all rows costs
-    one row per map task -- and only these per-key rows are joined to the labels
-    (one row per key on both sides).  Class moments follow by summation:
-    n_c var_c = S2_c - S1_c^2 / n_c.  Same output as ``fisher_scores``."""
+    Rows are first reduced per key to (count, mean, variance) of every feature --
+    partial aggregation, so a key holding a third of all rows costs one row per
+    map task -- and only these per-key rows are joined to the labels (one row per
+    key on both sides).  A class's spread is the spread within its keys plus the
+    spread of the keys' means, n var = sum n_k var_k + sum n_k (mu_k - mu_c)^2, so
+    large values far from zero lose no digits.  Rows without a label are left out.
+    The key itself may be a feature.  Same output as ``fisher_scores``."""
     features = list(features)
     aggs = []
     for i, f in enumerate(features):
         x = f"CAST({quote(f)} AS DOUBLE)"
-        aggs += [F.expr(f"count({quote(f)}) AS n_{i}"), F.expr(f"sum({x}) AS s1_{i}"),
-                 F.expr(f"sum({x} * {x}) AS s2_{i}")]
+        aggs += [F.expr(f"count({quote(f)}) AS n_{i}"), F.expr(f"avg({x}) AS mu_{i}"), F.expr(f"var_pop({x}) AS var_{i}")]
     flat = df.groupBy(key).agg(*aggs)
-    per_class = flat.join(labels.select(key, label), key, "left").groupBy(label).agg(*[
-        F.expr(f"sum({p}_{i}) AS {p}_{i}") for i in range(len(features)) for p in ("n", "s1", "s2")])
-    structs = ", ".join(f"named_struct('feature', {literal(f)}, 'n', n_{i}, 's1', s1_{i}, 's2', s2_{i})"
-                        for i, f in enumerate(features))
-    long = per_class.selectExpr(f"explode(array({structs})) AS s").select("s.*").where(F.col("n") > 0)
-    mu_c = F.col("s1") / F.col("n")
+    joined = flat.join(labels.where(F.col(label).isNotNull()).select(F.col(key).alias("__key"), label), F.col(key) == F.col("__key"))
+    structs = ", ".join(f"named_struct('feature', {literal(f)}, 'n', n_{i}, 'mu', mu_{i}, 'var', var_{i})" for i, f in enumerate(features))
+    long = joined.selectExpr(quote(label), f"explode(array({structs})) AS s").select(label, "s.*").where("n > 0")
+    # per class and feature: sum n, mean, and the spread around the mean of the keys' means (a shift near the data)
+    shift = long.groupBy("feature").agg(F.avg("mu").alias("shift"))
+    moved = long.join(F.broadcast(shift), "feature").withColumn("d", F.col("mu") - F.col("shift"))
+    per_class = moved.groupBy("feature", label, "shift").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("d")).alias("s1"),
+        F.sum(F.col("n") * (F.col("var") + F.col("d") * F.col("d"))).alias("s2"))
     w = Window.partitionBy("feature")
-    mu = F.sum("s1").over(w) / F.sum("n").over(w)
-    parts = long.select("feature", (F.col("n") * F.pow(mu_c - mu, 2)).alias("between"),
-                        F.greatest(F.col("s2") - F.col("s1") * F.col("s1") / F.col("n"), F.lit(0.0)).alias("within"))
+    mu_c, mu = F.col("s1") / F.col("n"), F.sum("s1").over(w) / F.sum("n").over(w)
+    parts = per_class.select("feature", (F.col("n") * F.pow(mu_c - mu, 2)).alias("between"),
+                             F.greatest(F.col("s2") - F.col("s1") * mu_c, F.lit(0.0)).alias("within"))
     agg = parts.groupBy("feature").agg(F.sum("between").alias("between"), F.sum("within").alias("within"))
     scored = agg.select("feature", F.when(F.col("within") > 0, F.col("between") / F.col("within")).alias("score"))
     ranked = Window.orderBy(F.col("score").desc_nulls_last(), F.col("feature"))

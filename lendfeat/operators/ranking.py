@@ -2,11 +2,9 @@
 
 ``Window.partitionBy(g).orderBy(o)`` puts every row of a group into one task;
 a group holding a third of the data (one client, one class) then runs on a
-single core.  Here each group is cut into *buckets* that are monotone in the
-sort order.  A small histogram gives every (group, bucket) the number of rows
-in earlier buckets of its group; adding that offset to a ``row_number`` inside
-the (group, bucket) gives the exact rank in the whole group.  Only one bucket's
-rows ever share a task.
+single core.  ``rank_within`` range-partitions the rows by (group, order) and
+ranks inside each part of a group; ``segment_by_rank`` needs only where a rank
+falls and settles whole hash buckets from a histogram.
 """
 
 from __future__ import annotations
@@ -18,26 +16,26 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# The integer hash shared with the SQL oracle.
-HASH_MULTIPLIER = 2654435761
-HASH_MODULUS = 4294967296  # 2^32
-ID_MODULUS = 2147483648  # 2^31, keeps the product inside BIGINT
+from lendfeat.session import scratch_path
+
 HASH_BUCKET_WIDTH = 65536  # 2^16 buckets per group for hash orders
-MAX_BROADCAST_ROWS = 2_000_000  # largest histogram shipped to every executor
 
 
-def seeded_hash(key: str | Column, seed: int) -> Column:
-    """Deterministic 32-bit hash of an integer key; the same formula runs in SQL."""
+def seeded_hash(key: str | Column, seed: int, purpose: str = "") -> Column:
+    """Deterministic 32-bit hash: the first eight hex digits of md5("purpose:seed:key").
+
+    The same formula runs in SQL; another seed or purpose gives an unrelated order."""
     k = F.col(key) if isinstance(key, str) else key
-    return (F.pmod(k, F.lit(ID_MODULUS)) * F.lit(HASH_MULTIPLIER) + F.lit(seed)) % F.lit(HASH_MODULUS)
+    text = F.concat(F.lit(f"{purpose}:{seed}:"), k.cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
-def seeded_hash_keys(keys, seed: int) -> Column:
+def seeded_hash_keys(keys, seed: int, purpose: str = "") -> Column:
     """Chain ``seeded_hash`` over a composite integer key."""
     h = None
     for k in keys:
         c = F.col(k) if isinstance(k, str) else k
-        h = seeded_hash(c if h is None else h + c, seed)
+        h = seeded_hash(c if h is None else h + c, seed, purpose)
     return h
 
 
@@ -47,27 +45,24 @@ def hash_bucket(h: str | Column) -> Column:
     return F.floor(c / F.lit(HASH_BUCKET_WIDTH)).cast("bigint")
 
 
-def rank_within(df: DataFrame, by: list[str], order: list, buckets: list[Column], *,
-                name: str = "rank") -> DataFrame:
-    """Add ``name`` = exact 1-based ``row_number()`` within ``by`` ordered by ``order``.
+def rank_within(df: DataFrame, by: list[str], order: list[str], *, name: str = "rank") -> DataFrame:
+    """Add ``name`` = exact 1-based ``row_number()`` within ``by`` ordered by the columns ``order``.
 
-    ``buckets`` must sort the same way as ``order`` (a row with a smaller bucket
-    tuple sorts first) and ``order`` must be unique within a group for the result
-    to be deterministic.  The offset table has one row per (group, bucket); the
-    planner decides how to join it (AQE broadcasts it only once measured small).
-    """
-    bcols = [f"__b{i}" for i in range(len(buckets))]
-    keyed = df.withColumns(dict(zip(bcols, buckets)))
-    keys = [*by, *bcols]
-    hist = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*by).orderBy(*bcols).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = hist.select(*[F.col(k).alias(f"__o_{k}") for k in keys],
-                          F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    cond = [keyed[k].eqNullSafe(offsets[f"__o_{k}"]) for k in keys]
-    joined = keyed.join(offsets, cond, "inner")
-    inside = Window.partitionBy(*keys).orderBy(*order)
-    ranked = joined.withColumn(name, F.col("__off") + F.row_number().over(inside))
-    return ranked.drop(*bcols, "__off", *[f"__o_{k}" for k in keys])
+    Rows are range-partitioned by (by, order) and written once, with the number of
+    their range; a group that fills many ranges is ranked range by range, in
+    parallel, and each range adds the rows of the group's earlier ranges (one
+    row per group and range).  ``order`` must be unique within a group for the
+    result to be deterministic."""
+    ranged = df.repartitionByRange(*by, *order).withColumn("__range", F.spark_partition_id()).checkpoint()
+    keys = [*by, "__range"]
+    counts = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(k).alias(f"__o_{k}") for k in keys],
+                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    inside = ranged.withColumn("__in", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    cond = [inside[k].eqNullSafe(offsets[f"__o_{k}"]) for k in keys]
+    ranked = inside.join(offsets, cond, "inner").withColumn(name, F.col("__off") + F.col("__in"))
+    return ranked.drop("__range", "__off", "__in", *[f"__o_{k}" for k in keys])
 
 
 def segment_by_rank(df: DataFrame, by: list[str], order: list, bucket: Column,
@@ -77,14 +72,14 @@ def segment_by_rank(df: DataFrame, by: list[str], order: list, bucket: Column,
     ``cuts(group_size, smallest_group_size)`` gives the cut points of a group as
     expressions of its size.  Rows are ranked by ``order`` inside ``by``;
     ``bucket`` must be monotone in that order and take a bounded number of
-    values per group; the (group, bucket) histogram is broadcast while it has at
-    most ``MAX_BROADCAST_ROWS`` rows and joined normally beyond that.
+    values per group.  The (group, bucket) histogram is written, so the planner
+    knows its bytes and broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` only.
 
     Only buckets that straddle a cut point need real ranks: every other bucket
     lies wholly between two cuts and is settled by a broadcast join with the
     histogram, without moving its rows.  The rows of straddling buckets (at
     most one bucket per cut and group) are the only ones shuffled and sorted.
-    The histogram is checkpointed, then the input is read twice more (settled
+    Once it is written, the input is read twice more (settled
     rows, straddling rows): checkpoint an expensive input first.
     """
     keyed = df.withColumn("__b", bucket)
@@ -103,12 +98,11 @@ def segment_by_rank(df: DataFrame, by: list[str], order: list, bucket: Column,
     h = h.select(*[F.col(k).alias(f"__o_{k}") for k in keys], "__off",
                  seg(F.col("__off") + 1).alias("__first"), seg(F.col("__off") + F.col("__n")).alias("__last"),
                  *[p.alias(f"__cut{i}") for i, p in enumerate(points)])
-    # The histogram is small (groups x buckets): materialise it once, check its
-    # size, and broadcast it only under the bound; beyond it, a normal join.
-    h = h.checkpoint()
-    small = h.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    path = scratch_path(df.sparkSession, "rank_histogram")
+    h.write.parquet(path)
+    h = df.sparkSession.read.schema(h.schema).parquet(path)
     cond = [keyed[k].eqNullSafe(h[f"__o_{k}"]) for k in keys]
-    joined = keyed.join(F.broadcast(h) if small else h, cond, "inner")
+    joined = keyed.join(h, cond, "inner")
     settled = joined.where(F.col("__first") == F.col("__last")).withColumn(name, F.col("__first"))
     inside = Window.partitionBy(*keys).orderBy(*order)
     rank = F.col("__off") + F.row_number().over(inside)

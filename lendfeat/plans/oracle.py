@@ -93,8 +93,8 @@ def _union_long(source: str, cols, value_type="BIGINT") -> str:
         f"SELECT '{c}' AS \"column\", CAST({c} AS {value_type}) AS value FROM {source}" for c in cols)
 
 
-def _hash(expr: str, seed: int) -> str:
-    return f"(((({expr}) % 2147483648 + 2147483648) % 2147483648) * 2654435761 + {seed}) % 4294967296"
+def _hash(expr: str, seed: int, purpose: str) -> str:
+    return f"CAST('0x' || substr(md5('{purpose}:{seed}:' || CAST({expr} AS VARCHAR)), 1, 8) AS BIGINT)"
 
 
 def _association_ctes() -> str:
@@ -145,9 +145,9 @@ am AS (
 
 
 def _fisher_ctes() -> str:
-    feats = [c for c in LOAN_COLS if c != "id"]
+    feats = list(LOAN_COLS)
     long = "\n    UNION ALL ".join(
-        f"SELECT '{c}' AS feature, target, CAST({c} AS DOUBLE) AS x FROM lt" for c in feats)
+        f"SELECT '{c}' AS feature, target, CAST({c} AS DOUBLE) AS x FROM lt WHERE target IS NOT NULL" for c in feats)
     return f"""lt AS (SELECT l.*, t.flag AS target FROM loans l LEFT JOIN targets t ON l.id = t.id),
 fl AS (
     {long}
@@ -163,8 +163,8 @@ fr AS (SELECT feature, score,
        CAST(ROW_NUMBER() OVER (ORDER BY score DESC NULLS LAST, feature) AS BIGINT) AS rank FROM fs)"""
 
 
-def _split_ctes(seed: int) -> str:
-    return f"""cl AS (SELECT id, flag AS target, {_hash('id', seed)} AS h FROM targets),
+def _split_ctes(seed: int, purpose: str = "split") -> str:
+    return f"""cl AS (SELECT id, flag AS target, {_hash('id', seed, purpose)} AS h FROM targets),
 rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY target ORDER BY h, id) AS rnk,
               COUNT(*) OVER (PARTITION BY target) AS n_c FROM cl),
 sp AS (SELECT id, target, h, CASE WHEN rnk <= (n_c * 2 + 5) // 10 THEN 1 ELSE 0 END AS is_test FROM rk)"""
@@ -180,8 +180,8 @@ SELECT ROUND((SUM(ar) FILTER (WHERE y = 1) - COUNT(*) FILTER (WHERE y = 1) * (CO
 def oracle_sql() -> dict[str, str]:
     status = ", ".join(STATUS_COLS)
     lo_sh = shifted_select()
-    h1 = _hash("id", Q.SEED)
-    sample_h = _hash(f"{h1} + rn", Q.SEED)
+    h1 = _hash("id", Q.SEED, "sample")
+    sample_h = _hash(f"({h1} + rn)", Q.SEED, "sample")
     manifest_exprs = []
     feat_names = set(FLAG_COLS) | {f"{c}_{v}" for c in CATEGORICAL for v in LEVELS[c]} | {
         "rn_max", "credit_history_length_max", "num_loan_months_max", "frac_loan_months_max", "has_loans"}
@@ -261,8 +261,8 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT feature, ROUND(score, 6) AS score, rank FROM fr ORDER BY score ASC NULLS LAST, feature "
             f"LIMIT {Q.LOWEST_K}", extra=_fisher_ctes()),
         "downsample_union": with_views(
-            """SELECT id, target FROM (
-  SELECT id, target, ROW_NUMBER() OVER (PARTITION BY target ORDER BY h, id) AS r2,
+            f"""SELECT id, target FROM (
+  SELECT id, target, ROW_NUMBER() OVER (PARTITION BY target ORDER BY {_hash('id', Q.SEED, 'downsample')}, id) AS r2,
          MIN(n_t) OVER () AS n_min FROM (SELECT *, COUNT(*) OVER (PARTITION BY target) AS n_t FROM sp WHERE is_test = 0)
 ) WHERE r2 <= n_min""", extra=_split_ctes(Q.SEED)),
         "sample_n": with_views(
@@ -273,7 +273,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT id, target, CAST(" + " + ".join(
                 f"CASE WHEN rnk > (n_c * {j}) // {Q.N_FOLDS} THEN 1 ELSE 0 END" for j in range(1, Q.N_FOLDS))
             + " AS INTEGER) AS fold FROM rk",
-            extra=_split_ctes(Q.SEED)),
+            extra=_split_ctes(Q.SEED, "fold")),
         "longest_overdue_run": with_views(f"SELECT id, rn, num_loan_months FROM ({_per_loan_features()})"),
         "overdue_fraction": with_views(f"SELECT id, rn, frac_loan_months FROM ({_per_loan_features()})"),
         "history_length": with_views(f"SELECT id, rn, credit_history_length FROM ({_per_loan_features()})"),

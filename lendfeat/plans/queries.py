@@ -211,7 +211,7 @@ def _fisher(spark, sf) -> DataFrame:
 
     Loans are reduced per client before meeting the targets, so no loan-grain join."""
     lo = loans(spark, sf)
-    feats = [c for c in lo.columns if c != "id"]
+    feats = list(lo.columns)
     tg = targets(spark, sf).withColumnRenamed("flag", "target")
     return P.fisher_scores_by_key(lo, feats, "id", tg, "target")
 

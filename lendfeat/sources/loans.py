@@ -19,7 +19,6 @@ from lendfeat.roles import FLAG_COLS
 # Fixed values of the derived view.
 N_STATUS = 25
 SHIFTED_MONTHS = (11, 20, 24)
-RN_KEY_BUCKET = 4096  # order keys per rank bucket inside one (client, day)
 TARGET_BASE_PCT = 20
 TARGET_NOISE_PCT = 30
 
@@ -49,11 +48,8 @@ def loans_from_orders(orders: DataFrame) -> DataFrame:
         cols[flag] = F.when((ok * (i + 5) + ck) % (i + 2) == 0, F.lit(0)).otherwise(F.lit(1))
     for k in range(N_STATUS):
         cols[f"enc_paym_{k}"] = status_code(ok, ck, k)
-    day = F.to_date("o_orderdate")
     base = orders.select("o_orderkey", "o_orderdate", *[c.alias(n) for n, c in cols.items()])
-    ranked = rank_within(
-        base, ["id"], [F.col("o_orderdate"), F.col("o_orderkey")],
-        [day, F.floor(F.col("o_orderkey") / F.lit(RN_KEY_BUCKET))], name="rn")
+    ranked = rank_within(base, ["id"], ["o_orderdate", "o_orderkey"], name="rn")
     names = list(cols)
     return ranked.select("id", F.col("rn").cast("bigint").alias("rn"), *names[1:])
 

@@ -43,7 +43,7 @@ def test_rank_within_matches_window_on_hot_group(spark):
     # one group holds most rows: the bucketed rank must equal the plain window rank
     rows = [(0 if i % 10 else i % 7, i, (i * 7919) % 1000) for i in range(3000)]
     df = spark.createDataFrame(rows, "g int, k bigint, o int")
-    ranked = rank_within(df, ["g"], [F.col("o"), F.col("k")], [F.floor(F.col("o") / 50)], name="r")
+    ranked = rank_within(df, ["g"], ["o", "k"], name="r")
     plain = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("o", "k")))
     assert sorted(map(tuple, ranked.select("g", "k", "r").collect())) == \
         sorted(map(tuple, plain.select("g", "k", "r").collect()))
@@ -97,14 +97,74 @@ def test_segment_by_rank_matches_window_with_coarse_buckets(spark):
         sorted(map(tuple, want.select("g", "k", "s").collect()))
 
 
-def test_split_same_without_broadcast(spark, monkeypatch):
-    from lendfeat.operators import ranking
-
+def test_split_same_without_broadcast(spark):
     df = _clients(spark, 400, 40)
     a = sorted(map(tuple, S.stratified_split(df, "id", "target", 0.2, 44).collect()))
-    monkeypatch.setattr(ranking, "MAX_BROADCAST_ROWS", 1)  # histogram over the bound: plain join
-    b = sorted(map(tuple, S.stratified_split(df, "id", "target", 0.2, 44).collect()))
-    assert a == b
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert a == sorted(map(tuple, S.stratified_split(df, "id", "target", 0.2, 44).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_seeds_and_purposes_give_unrelated_orders(spark):
+    df = spark.range(20_000)
+    draw = lambda seed: {r["id"] for r in S.sample_n(df, "id", 2000, seed).collect()}
+    assert 120 < len(draw(44) & draw(45)) < 280  # 200 by chance
+    labelled = df.withColumn("y", (F.col("id") % 4 == 0).cast("int"))
+    marked = S.stratified_split(labelled, "id", "y", 0.2, 44)
+    parts = S.folds(marked.where("is_test = 0").drop("is_test"), "id", "y", 4, 44)
+    shares = {r["fold"]: r["n"] for r in S.folds(marked, "id", "y", 4, 44).where("is_test = 1").groupBy("fold").agg(F.count("*").alias("n")).collect()}
+    assert len(shares) == 4 and min(shares.values()) > 800  # the test part is spread over the folds
+    assert parts.groupBy("fold").count().count() == 4
+    inner = S.stratified_split(marked.where("is_test = 0").drop("is_test"), "id", "y", 0.2, 45, flag="is_val")
+    from lendfeat.operators.ranking import seeded_hash
+
+    h = inner.where("is_val = 1").withColumn("h", seeded_hash("id", 44, "split")).agg(F.min("h"), F.max("h"), F.avg("h")).first()
+    assert h[1] - h[0] > 0.75 * 2**32
+
+
+def test_rows_without_label_are_no_class(spark):
+    from lendfeat.operators import models as M
+    from lendfeat.operators import profile as P
+
+    rows = [(i, 1 if i < 10 else 0 if i < 28 else None, float(i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, y int, x double")
+    assert S.downsample(df, "id", "y", 1).groupBy("y").count().where("count = 10").count() == 2
+    w = {r["y"]: r["w"] for r in M.balanced_weights(df, "y", "w").where("y is not null").select("y", "w").distinct().collect()}
+    assert w[1] == pytest.approx(1.4) and w[0] == pytest.approx(28 / 36)
+    known = P.fisher_scores(df.where("y is not null"), ["x"], "y").first()["score"]
+    assert P.fisher_scores(df, ["x"], "y").first()["score"] == pytest.approx(known)
+    assert P.fisher_scores_by_key(df.drop("y"), ["x"], "id", df.select("id", "y"), "y").first()["score"] == pytest.approx(known)
+
+
+def test_fisher_of_large_values_keeps_its_digits(spark):
+    from lendfeat.operators import profile as P
+
+    rows = [(i % 50, 1e9 + i % 10) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, x double")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(50)], "id long, y int")
+    direct = P.fisher_scores(df.join(labels, "id"), ["x", "id"], "y").collect()
+    by_key = {r["feature"]: r["score"] for r in P.fisher_scores_by_key(df, ["x", "id"], "id", labels, "y").collect()}
+    assert {r["feature"]: pytest.approx(r["score"], rel=1e-6) for r in direct} == by_key
+
+
+def test_loans_are_numbered_by_time_of_day(spark):
+    from datetime import datetime
+
+    from lendfeat.sources.loans import loans_from_orders
+
+    rows = [(9000, 1, datetime(2020, 1, 1, 10), "F", "1-URGENT"), (1, 1, datetime(2020, 1, 1, 12), "O", "2-HIGH")]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderstatus string, o_orderpriority string")
+    got = {r["pre_cat_a"]: r["rn"] for r in loans_from_orders(orders).collect()}
+    assert got == {1: 1, 2: 2}
+
+
+def test_shuffle_does_not_depend_on_partitions(spark):
+    df = spark.range(500)
+    a = [r["id"] for r in S.shuffled(df, "id", 3).collect()]
+    assert a == [r["id"] for r in S.shuffled(df.repartition(7), "id", 3).collect()] != sorted(a)
 
 
 def test_log_loss_floors_certain_mistakes(spark):
