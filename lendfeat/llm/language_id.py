@@ -37,12 +37,13 @@ _SEPARATE = np.where(T.IS_LETTER, np.arange(256), 32).astype(np.uint8)
 
 def _ngrams(data: np.ndarray):
     """For each order: start and hash of each n-gram whose inner bytes are all letters."""
-    flat = _SEPARATE[data]
-    blank = np.zeros(len(data) + 1, np.int32)
+    flat = np.full(len(data) + 1, 32, np.uint8)  # a blank before the first text too; others have the last text's end
+    flat[1:] = _SEPARATE[data]
+    blank = np.zeros(len(flat) + 1, np.int32)
     np.cumsum(flat == 32, dtype=np.int32, out=blank[1:])
     prefix = T.prefix_hash(flat)
     for n in ORDERS:
-        start = np.flatnonzero(blank[n - 1 : len(data)] == blank[1 : len(data) - n + 2]) if len(data) >= n else np.zeros(0, np.int64)
+        start = np.flatnonzero(blank[n - 1 : len(flat)] == blank[1 : len(flat) - n + 2]) if len(flat) >= n else np.zeros(0, np.int64)
         yield start, T.range_hash(prefix, start, start + n)
 
 
