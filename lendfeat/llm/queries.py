@@ -100,7 +100,7 @@ def _topk_sql(queries: str, k: int, vector: str, kind: str, product: str, extra:
 WITH used AS (
   SELECT vec_id, {vector} AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 {extra}
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0 {extra}
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST({product} AS {kind}) AS score
   FROM used q JOIN used c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE {queries}
@@ -112,8 +112,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {k}"""
 
 def oracle_sql() -> dict[str, str]:
     # plain sums in component order, as the operators add them
-    whole = "list_transform(embedding, x -> floor(256 * x::DOUBLE))"
+    whole = "[floor(256 * x::DOUBLE) FOR x IN embedding]"
     return {
-        "op5_nearest_neighbours": _topk_sql("q.vec_id % 20 = 0", 20, "embedding::DOUBLE[]", "DOUBLE", "list_inner_product(q.v, c.v)", "AND len(list_filter(embedding, x -> x <> 0)) > 0"),
+        "op5_nearest_neighbours": _topk_sql("q.vec_id % 20 = 0", 20, "embedding::DOUBLE[]", "DOUBLE", "list_inner_product(q.v, c.v)", "AND len([x FOR x IN embedding IF x <> 0]) > 0"),
         "op8_exact_topk": _topk_sql("q.vec_id % 50 = 0", 5, whole, "BIGINT", "list_inner_product(q.v, c.v)", ""),
     }
