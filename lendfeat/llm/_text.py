@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | U64(1)

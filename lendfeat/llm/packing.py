@@ -6,7 +6,7 @@ emitted.  If that would waste more than ``MAX_GAP`` tokens, the document is cut
 first.  What is open at the partitions' ends is merged: leftovers of ``MERGED`` partitions at
 a time, themselves packed best-fit by falling size, so a merge's size is bounded too.
 
-Tokens: the words of a text are looked up in a table of the words that this worker has met and
+Tokens: the words of a text are looked up in a table of the words that this task has met and
 only new ones go to the tokenizer; the ids are those of the whole text.
 
 Defined results: null text is empty, an empty text is one piece with the end id; documents without
@@ -32,9 +32,9 @@ END_ID = 1
 OPEN = 64
 MAX_GAP = 16
 MERGED = 64
-#: Words kept in a worker's table; beyond, it starts anew (a cache, no effect on results).
-KNOWN = 2_000_000
-_SLOTS = 22
+#: Words kept in a task's table; beyond, it starts anew (a cache, no effect on results).
+KNOWN = 500_000
+_SLOTS = 20
 
 _b = np.arange(256)
 _SPACE, _WORD, _DIGIT, _MARK, _WHOLE = 0, 1, 2, 3, 4
@@ -142,16 +142,6 @@ class WordTokens:
         return ids, total[np.searchsorted(start, ends)]
 
 
-_workers: dict[str, WordTokens] = {}
-
-
-def _tokens(path: str) -> WordTokens:
-    """The worker's own; it outlives a task."""
-    if path not in _workers:
-        _workers[path] = WordTokens(path)
-    return _workers[path]
-
-
 _FIELDS = [("doc_no", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("part", pa.int64()), ("window", pa.int64()), ("offset", pa.int64()), ("fill", pa.int64()), ("open", pa.bool_())]
 
 
@@ -207,7 +197,7 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        tokens, packer = _tokens(tokenizer), _Packer(part, window)
+        tokens, packer = WordTokens(tokenizer), _Packer(part, window)
         for batch in batches:
             for at, data, ends in T.chunks(batch["text"], lower=False):
                 ids, stop = tokens.encode(data, ends)
