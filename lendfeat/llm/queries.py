@@ -32,8 +32,8 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(_fold(5) == 0, F.lit(False))
-    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.fit(docs.join(labels, "doc_id").where(~held_out))
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out)
+    model = toxicity.fit(toxicity.labelled(docs, labels))
     return toxicity.score(docs.withColumn("held_out", held_out), model).select("doc_id", "held_out", "score", "predicted", "whole", "expression")
 
 

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendfeat.llm import _text as T
+from lendfeat.llm._store import settle
 
 WORD_BITS = 21
 DISCOUNT = 8.0
@@ -141,9 +142,22 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> np.ndarray:
     return b
 
 
+#: Slots of the filter that keeps unlabelled texts out of the join; its size is fixed.
+FILTER_SLOTS = 1 << 20
+
+
+def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """docs with the columns of labels.  Only texts whose key falls in a labelled slot are shuffled."""
+    slot = F.pmod(F.xxhash64(key), F.lit(FILTER_SLOTS)).cast("int").alias("_slot")
+    wanted = labels.select(slot).distinct()  # at most FILTER_SLOTS rows
+    likely = docs.withColumn("_slot", slot).join(F.broadcast(wanted), "_slot", "left_semi").drop("_slot")
+    return likely.join(labels.hint("merge"), key)
+
+
 def fit(labelled: DataFrame, text: str = "text", label: str = "toxic") -> KneserNey:
     """Counts from nine tenths of the rows (by hash of the text), curve from the rest."""
     rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label")).where("text is not null and label in (0, 1)")
+    rows = settle(rows, "toxicity-rows")
     part, slots = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(10)), 1 << WORD_BITS
     counted = rows.where(part != 0)
     n = _by_slot(counted.mapInArrow(_sightings, "label int, word int, n long").groupBy("label", "word").agg(F.sum("n").alias("n")), "n")
