@@ -8,7 +8,7 @@ parquet instead of recomputing the feature aggregate.
 
 Fitted models run the presets unchanged.  Only the cross-validation searches take
 their boosting rounds from a parameter (``CV_TREES``): at the presets' rounds they
-would fit some 8,000 trees.
+would fit some 16,000 trees.
 """
 
 from __future__ import annotations
