@@ -6,11 +6,14 @@ import os
 
 from pyspark.sql import SparkSession
 
+#: Bytes of rows that Spark hands a Python worker at once, so that batches of very long texts stay small.
+BATCH_BYTES = "16m"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def prepare(spark: SparkSession) -> None:
-    """Lets Python workers import this package where it lies (a cluster gets it with --py-files)."""
+    """Lets Python workers import this package where it lies (a cluster gets it with --py-files), and bounds their batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), ROOT]))
