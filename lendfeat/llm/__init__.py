@@ -7,7 +7,7 @@ import os
 from pyspark.sql import SparkSession
 
 #: Bytes of rows that Spark hands a Python worker at once, so that batches of very long texts stay small.
-BATCH_BYTES = "16m"
+BATCH_BYTES = "4m"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 

@@ -1,8 +1,8 @@
 """Vectorised word and n-gram hashing over Arrow string columns (numpy, inside tasks).
 
 A word is a maximal run of ASCII letters, digits, ``_`` and non-ASCII characters of
-the lower-cased text; everything else separates words.  Texts are handled whole, a
-few megabytes of documents at a time, so memory does not follow the batch.
+the lower-cased text; everything else separates words.  Texts are handled whole, about
+CHUNK_BYTES of them at a time (a longer one by itself), so memory does not follow the batch.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | U64(1)
