@@ -3,13 +3,11 @@
 All profiles run as distributed aggregates; nothing is collected except the
 learned level lists, whose size is checked before they reach the driver.
 
-Cramer's V for every column pair: instead of one crosstab per pair, each
-partition one-hot encodes its rows (levels numbered as they appear in the
-task) and adds up ``X'X`` (a levels x levels co-occurrence matrix) in a
-``mapInPandas`` task, emitting only non-zero cells.  A ``groupBy(i, j).sum`` merges partitions; every
-pair's contingency table is a block of that matrix.  Work per row is one small
-matrix product, memory per task is levels^2, and no pairs of rows or columns
-are ever exploded into rows.
+Cramer's V for every column pair: instead of one crosstab per pair, a
+``mapInPandas`` pass numbers the values of each batch and counts the value pairs
+of each column pair, emitting only cells that occur.  A ``groupBy(...).sum``
+merges tasks.  Work per row is one addition per column pair, memory per task is
+bounded by a number of held counts, and no pairs of rows are ever exploded.
 """
 
 from __future__ import annotations
@@ -26,7 +24,7 @@ from lendfeat.functions.sqltext import literal, quote
 V_EPSILON = 1e-6
 YATES = 0.5
 BAND_LOW, BAND_HIGH = 0.7, 0.999
-MAX_TOTAL_LEVELS = 4096  # one co-occurrence task: <= 4096^2 int64 counts (134 MB)
+MAX_CELLS = 1 << 21  # counts a co-occurrence task holds before it yields them (16 bytes each and their level names)
 
 
 # ---------------------------------------------------------------------------
@@ -116,68 +114,75 @@ def class_ratio(df: DataFrame, label: str, subset: Column | None = None) -> Data
 # Cramer's V and chi-square for all column pairs
 # ---------------------------------------------------------------------------
 
-def _cooccurrence_fn(cols, max_levels: int, max_total: int):
-    """Per-partition X'X of the one-hot rows, as non-zero (px, vx, py, vy, n) cells, px <= py.
-
-    Levels are numbered in order of first sight inside the task (no separate
-    pass to learn them).  A column with more than ``max_levels`` values, or more
-    than ``max_total`` levels over all columns, fails the job: task memory stays
-    below max_total^2 x 8 bytes for the counts plus batch rows x max_total x 4
-    bytes for one one-hot batch."""
+def _cooccurrence_fn(cols, max_cells: int):
+    """Per task: the counts of every pair of values of every column pair, as (px, vx, py, vy, n), px <= py.
+
+    Values are numbered in order of first sight.  A batch adds one count per value
+    pair it holds; beyond ``max_cells`` counts the task yields what it has and
+    starts afresh, numbers included, so memory stays bounded for any number of
+    levels and the sums over all tasks stay the same."""
+    pairs = [(x, y) for x in range(len(cols)) for y in range(x, len(cols))]
+
+    def counts(a, b, la, lb):
+        """Codes and count of each pair of values in two columns of a batch (code -1: NULL)."""
+        both = (a >= 0) & (b >= 0)
+        key = a[both] * lb + b[both]
+        if la * lb <= 8 * len(a):
+            n = np.bincount(key, minlength=la * lb)
+            key = np.flatnonzero(n)
+            return key // max(lb, 1), key % max(lb, 1), n[key]
+        key, n = np.unique(key, return_counts=True)
+        return key // lb, key % lb, n
+
+    def merged(parts):
+        keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, at, np.concatenate([n for _, n in parts]))
+        return [(keys, total)]
+
+    def frames(names, cells):
+        for (px, py), parts in cells.items():
+            (key, n), = merged(parts)
+            yield pd.DataFrame({"px": np.int32(px), "vx": np.array(names[px], object)[key >> 32],
+                                "py": np.int32(py), "vy": np.array(names[py], object)[key & 0xFFFFFFFF], "n": n})
 
     def run(batches):
-        ids: list[dict] = [dict() for _ in cols]      # per column: value -> global id
-        owner: list[tuple[int, str]] = []              # global id -> (column position, value)
-        total = np.zeros((0, 0), dtype=np.int64)
+        ids, names, cells, held = [{} for _ in cols], [[] for _ in cols], {}, 0
         for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
+            local, numbers = [], []
             for pos, c in enumerate(cols):
-                for v in pd.unique(pdf[c].dropna()):
+                code, values = pd.factorize(pdf[c])
+                for v in values:
                     if v not in ids[pos]:
-                        if len(ids[pos]) >= max_levels:
-                            raise ValueError(f"column {c} has more than {max_levels} levels")
-                        if len(owner) >= max_total:
-                            raise ValueError(f"more than {max_total} levels over all columns; "
-                                             "profile fewer columns at once")
-                        ids[pos][v] = len(owner)
-                        owner.append((pos, v))
-            size = len(owner)
-            if size > total.shape[0]:
-                total = np.pad(total, ((0, size - total.shape[0]), (0, size - total.shape[0])))
-            x = np.zeros((n, size), dtype=np.float32)
-            rows = np.arange(n)
-            for pos, c in enumerate(cols):
-                gid = pdf[c].map(ids[pos]).to_numpy(dtype=np.float64, na_value=np.nan)
-                ok = ~np.isnan(gid)
-                x[rows[ok], gid[ok].astype(np.int64)] = 1.0
-            # float32 sums of 0/1 stay exact below 2^24 rows per batch
-            total += np.rint(x.T @ x).astype(np.int64)
-        i, j = np.nonzero(np.triu(total))
-        if len(i):
-            pi = np.array([owner[k][0] for k in i]); pj = np.array([owner[k][0] for k in j])
-            vi = np.array([owner[k][1] for k in i], dtype=object)
-            vj = np.array([owner[k][1] for k in j], dtype=object)
-            swap = pi > pj
-            yield pd.DataFrame({"px": np.where(swap, pj, pi).astype(np.int32),
-                                "vx": np.where(swap, vj, vi),
-                                "py": np.where(swap, pi, pj).astype(np.int32),
-                                "vy": np.where(swap, vi, vj),
-                                "n": total[i, j]})
+                        ids[pos][v] = len(names[pos])
+                        names[pos].append(v)
+                local.append(code.astype(np.int64))
+                numbers.append(np.array([ids[pos][v] for v in values], np.int64))
+            for px, py in pairs:
+                i, j, n = counts(local[px], local[py], len(numbers[px]), len(numbers[py]))
+                if len(n):
+                    cells.setdefault((px, py), []).append((numbers[px][i] << 32 | numbers[py][j], n))
+                    held += len(n)
+            if held > max_cells:
+                cells = {pair: merged(parts) for pair, parts in cells.items()}
+                held = sum(len(parts[0][0]) for parts in cells.values())
+                if held > max_cells // 2:
+                    yield from frames(names, cells)
+                    ids, names, cells, held = [{} for _ in cols], [[] for _ in cols], {}, 0
+        yield from frames(names, cells)
 
     return run
 
 
-def cooccurrence_cells(df: DataFrame, cols, max_levels: int = 1000,
-                       max_total_levels: int = MAX_TOTAL_LEVELS) -> DataFrame:
+def cooccurrence_cells(df: DataFrame, cols, max_cells: int = MAX_CELLS) -> DataFrame:
     """Contingency cells of every column pair (cx <= cy in column order), one pass.
 
     Columns: px, cx, vx, py, cy, vy, n (values as strings).  Rows with a NULL in
-    either column of a pair simply contribute nothing to that pair."""
+    either column of a pair simply contribute nothing to that pair.  ``max_cells``
+    bounds a task's memory, not the result."""
     cols = list(cols)
     narrow = df.selectExpr(*[f"CAST({quote(c)} AS STRING) AS {quote(c)}" for c in cols])
-    cells = (narrow.mapInPandas(_cooccurrence_fn(cols, max_levels, max_total_levels),
+    cells = (narrow.mapInPandas(_cooccurrence_fn(cols, max_cells),
                                 "px int, vx string, py int, vy string, n long")
              .groupBy("px", "vx", "py", "vy").agg(F.sum("n").alias("n")))
     names = "array(" + ", ".join(literal(c) for c in cols) + ")"
@@ -235,10 +240,9 @@ def mirrored(stats: DataFrame, value_cols) -> DataFrame:
     return stats.select(F.explode(both).alias("e")).select("e.*")
 
 
-def association_matrix(df: DataFrame, cols, max_levels: int = 1000,
-                       max_total_levels: int = MAX_TOTAL_LEVELS) -> DataFrame:
+def association_matrix(df: DataFrame, cols, max_cells: int = MAX_CELLS) -> DataFrame:
     """A9 + A10: (col_x, col_y, n, r, k, chi2, v) for all ordered column pairs."""
-    stats = pair_statistics(cooccurrence_cells(df, cols, max_levels, max_total_levels))
+    stats = pair_statistics(cooccurrence_cells(df, cols, max_cells))
     return mirrored(stats, ["n", "r", "k", "chi2", "v"])
 
 

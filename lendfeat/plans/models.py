@@ -63,17 +63,17 @@ def q_cv_results(spark, sf):
     data = M.assembler(names).transform(M.balanced_weights(train, "target"))
     est = M.gbt(M.LGBM_FINAL, maxIter=CV_TREES)
     g1 = ParamGridBuilder().addGrid(est.maxDepth, [3, 5]).addGrid(est.minInstancesPerNode, [1, 20]).build()
-    r1 = M.cross_validate(spark, est, g1, S.folds(data, "id", "target", CV_FOLDS_GBT, SEED),
+    r1, _ = M.cross_validate(spark, est, g1, S.folds(data, "id", "target", CV_FOLDS_GBT, SEED),
                           "fold", CV_FOLDS_GBT, parallelism=CV_JOBS_GBT, name="gbt")
     hgb = M.gbt(M.HGB_DEFAULT, maxIter=CV_TREES)
     g2 = ParamGridBuilder().addGrid(hgb.minInstancesPerNode, [1, 20]).build()
-    r2 = M.cross_validate(spark, hgb, g2, S.folds(data, "id", "target", CV_FOLDS_HGB, SEED),
+    r2, _ = M.cross_validate(spark, hgb, g2, S.folds(data, "id", "target", CV_FOLDS_HGB, SEED),
                           "fold", CV_FOLDS_HGB, parallelism=CV_JOBS_HGB, name="hgb")
-    # M7: the chosen configuration cross-validated on all clients, fitted models kept
+    # M7: the chosen configuration cross-validated on all clients
     allc = M.assembler(names).transform(M.balanced_weights(marked.drop("is_test"), "target"))
     final = M.gbt(M.LGBM_TUNED, maxIter=CV_TREES)
     g3 = ParamGridBuilder().addGrid(final.maxDepth, [M.LGBM_TUNED.params["maxDepth"]]).build()
-    r3 = M.cross_validate(spark, final, g3, S.folds(allc, "id", "target", CV_FOLDS_ALL, SEED),
+    r3, _ = M.cross_validate(spark, final, g3, S.folds(allc, "id", "target", CV_FOLDS_ALL, SEED),
                           "fold", CV_FOLDS_ALL, name="final_all_clients")
     return M.rank_results(M.append_results(M.append_results(r1, r2), r3))
 
@@ -115,12 +115,57 @@ def q_mlp_scores(spark, sf):
 
 
 def q_mlp_epochs(spark, sf):
-    """M13 + M14: per-iteration training objective of the downsampled network, and
-    its held-out log loss and AUC (one fit of the full-size preset)."""
+    """M13 + M14: the full-size network on the downsampled clients, epoch by epoch: training
+    objective, held-out log loss and AUC after each."""
     fm, marked = _clients(spark, sf)
     train, test = _parts(marked)
-    balanced = S.downsample(train, "id", "target", SEED).checkpoint()
-    return M.mlp_history(spark, balanced, test, fm.getManifest())
+    balanced = S.downsample(train, "id", "target", SEED)
+    return M.mlp_by_epoch(spark, balanced, test, fm.getManifest())
+
+
+def q_balanced_weights(spark, sf):
+    """Class weights of the training clients, as every boosted model gets them."""
+    train, _ = _parts(_clients(spark, sf)[1])
+    return M.balanced_weights(train, "target").select("id", "target", F.round(M.WEIGHT, 6).alias("weight"))
+
+
+def q_model_quality(spark, sf):
+    """Train and test AUC, log loss and confusion matrix of the fitted default preset."""
+    fm, marked = _clients(spark, sf)
+    train, test = _parts(marked)
+    model = M.fit_classifier(M.balanced_weights(train, "target"), fm.getManifest(), M.gbt(M.LGBM_DEFAULT))
+    return M.quality(model, {"train": train, "test": test}, M.LGBM_DEFAULT.name)
+
+
+def q_saved_features(spark, sf):
+    """The held-out clients' feature table, written to parquet and read back."""
+    fm, marked = _clients(spark, sf)
+    path = scratch_path(spark, "test_features")
+    R.write_parquet(_parts(marked)[1].select("id", *fm.getManifest()), path)
+    return spark.read.parquet(path)
+
+
+def q_manifest_file(spark, sf):
+    """The manifest learned from the loans, written to its file and read back in order."""
+    path = scratch_path(spark, "manifest")
+    R.write_manifest(spark, ClientFeatures().fit(loans(spark, sf)).getManifest(), path)
+    return spark.createDataFrame(list(enumerate(R.read_manifest(spark, path))), "pos int, name string")
+
+
+def q_saved_model_agreement(spark, sf):
+    """M15 + S7 + S8: one ``fit`` on the training clients' loans; the held-out clients scored by the
+    fitted and by the saved and loaded pipeline, rows that differ counted."""
+    _, marked = _clients(spark, sf)
+    train, test = _parts(marked)
+    path, saved = scratch_path(spark, "train_targets"), scratch_path(spark, "pipeline_model")
+    train.select("id", F.col("target").alias("flag")).write.parquet(path)
+    lo = loans(spark, sf)
+    model = M.feature_pipeline(path, M.gbt(M.LGBM_DEFAULT)).fit(lo.join(train.select("id"), "id", "left_semi"))
+    M.save_model(model, saved)
+    asked = lo.join(test.select("id"), "id", "left_semi")
+    score = lambda m, name: m.transform(asked).select("id", F.struct("probability", "prediction").alias(name))
+    both = score(model, "fitted").join(score(M.load_model(saved), "loaded"), "id", "full")
+    return both.agg(F.count(F.lit(1)).alias("n_clients"), F.count_if(~F.col("fitted").eqNullSafe(F.col("loaded"))).alias("n_differing"))
 
 
 def q_saved_model_scores(spark, sf):
@@ -132,10 +177,8 @@ def q_saved_model_scores(spark, sf):
     served = M.feature_pipeline_model(fm, names, clf.stages[-1])
     path = scratch_path(spark, "pipeline_model")
     M.save_model(served, path)
-    loaded = M.load_model(path)
     test_loans = loans(spark, sf).join(test.select("id"), "id", "left_semi")
-    R.write_parquet(fm.transform(test_loans), scratch_path(spark, "test_features"))
-    pred = loaded.transform(test_loans).select("id", F.col("prediction").cast("int").alias("target"))
+    pred = M.load_model(path).transform(test_loans).select("id", F.col("prediction").cast("int").alias("target"))
     out = scratch_path(spark, "test_predict_csv")
     R.write_csv(pred, out)
     return R.read_csv(spark, out, "id BIGINT, target INT")
@@ -149,4 +192,9 @@ MODEL_QUERIES = {
     "mlp_epochs": q_mlp_epochs,
     "early_stopping_scores": q_early_stopping_scores,
     "saved_model_scores": q_saved_model_scores,
+    "balanced_weights": q_balanced_weights,
+    "model_quality": q_model_quality,
+    "saved_features": q_saved_features,
+    "manifest_file": q_manifest_file,
+    "saved_model_agreement": q_saved_model_agreement,
 }

@@ -97,11 +97,11 @@ def _hash(expr: str, seed: int, purpose: str) -> str:
     return f"CAST('0x' || substr(md5('{purpose}:{seed}:' || CAST({expr} AS VARCHAR)), 1, 8) AS BIGINT)"
 
 
-def _association_ctes() -> str:
-    cols = [c for c in LOAN_COLS if c not in ("id", "rn")]
+def _association_ctes(derived: dict[str, str] | None = None) -> str:
+    cols = {**{c: c for c in LOAN_COLS if c not in ("id", "rn")}, **(derived or {})}
     long = "\n    UNION ALL ".join(
-        f"SELECT id, rn, {i} AS pos, '{c}' AS col, CAST({c} AS VARCHAR) AS val FROM loans WHERE {c} IS NOT NULL"
-        for i, c in enumerate(cols))
+        f"SELECT id, rn, {i} AS pos, '{c}' AS col, CAST({x} AS VARCHAR) AS val FROM loans WHERE ({x}) IS NOT NULL"
+        for i, (c, x) in enumerate(cols.items()))
     return f"""lg AS (
     {long}
 ),
@@ -177,6 +177,11 @@ SELECT ROUND((SUM(ar) FILTER (WHERE y = 1) - COUNT(*) FILTER (WHERE y = 1) * (CO
        / (CAST(COUNT(*) FILTER (WHERE y = 1) AS DOUBLE) * COUNT(*) FILTER (WHERE y = 0)), 6) AS auc FROM rk"""
 
 
+def feature_names() -> list[str]:
+    return [*FLAG_COLS, *[f"{c}_{v}" for c in CATEGORICAL for v in LEVELS[c]],
+            "rn_max", "credit_history_length_max", "num_loan_months_max", "frac_loan_months_max", "has_loans"]
+
+
 def oracle_sql() -> dict[str, str]:
     status = ", ".join(STATUS_COLS)
     lo_sh = shifted_select()
@@ -212,7 +217,8 @@ def oracle_sql() -> dict[str, str]:
             """SELECT col_x, col_y, ROUND(v, 6) AS v FROM am
   WHERE v > 0.7
     AND col_x IN (SELECT col_x FROM am WHERE v > 0.7 AND v <= 0.999)
-    AND col_y IN (SELECT col_x FROM am WHERE v > 0.7 AND v <= 0.999)""", extra=_association_ctes()),
+    AND col_y IN (SELECT col_x FROM am WHERE v > 0.7 AND v <= 0.999)""",
+            extra=_association_ctes({Q.NEAR_COLUMN: Q.NEAR_SQL})),
         "threshold_label": with_views("SELECT id, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS prediction FROM sc",
                                       extra=f"sc AS ({SCORES})"),
         "client_target": with_views(
@@ -278,6 +284,15 @@ def oracle_sql() -> dict[str, str]:
         "overdue_fraction": with_views(f"SELECT id, rn, frac_loan_months FROM ({_per_loan_features()})"),
         "history_length": with_views(f"SELECT id, rn, credit_history_length FROM ({_per_loan_features()})"),
         "client_features": with_views(features_cte()),
+        "balanced_weights": with_views(
+            """SELECT id, target, ROUND(SUM(1) OVER () / (CAST(n_t AS DOUBLE) * (SELECT COUNT(DISTINCT target) FROM sp WHERE is_test = 0)), 6) AS weight
+FROM (SELECT *, COUNT(*) OVER (PARTITION BY target) AS n_t FROM sp WHERE is_test = 0)""", extra=_split_ctes(Q.SEED)),
+        "saved_features": with_views("SELECT f.* FROM feats f JOIN sp ON f.id = sp.id WHERE sp.is_test = 1",
+                                     extra=f"feats AS ({features_cte()}),\n{_split_ctes(Q.SEED)}"),
+        "manifest_file": "SELECT * FROM (VALUES " + ", ".join(
+            f"(CAST({i} AS INTEGER), '{n}')" for i, n in enumerate(feature_names())) + ") AS t(pos, name)",
+        "saved_model_agreement": with_views(
+            "SELECT COUNT(*) AS n_clients, CAST(0 AS BIGINT) AS n_differing FROM sp WHERE is_test = 1", extra=_split_ctes(Q.SEED)),
         "roc_auc": _auc("SELECT l.quality AS y, CAST(d.n_chars AS DOUBLE) AS s FROM labels l JOIN documents d "
                         "ON l.doc_id = d.doc_id WHERE l.quality IS NOT NULL AND d.n_chars IS NOT NULL"),
         "roc_auc_clients": _auc_clients(),

@@ -27,6 +27,9 @@ N_FOLDS = 5
 SAMPLE_ROWS = 10000
 LOWEST_K = 30
 LOOKUP_ID, LOOKUP_RN = 7, 4
+# A column that follows pre_cat_a in nine loans of ten, so that a pair falls into the association band.
+NEAR_COLUMN = "pre_cat_near"
+NEAR_SQL = "CASE WHEN (id*31 + rn*17) % 10 = 0 THEN pre_cat_a % 5 + 1 ELSE pre_cat_a END"
 MANIFEST = ["rn_max", "has_loans", "is_zero_loans90", "pre_cat_a_1", "pre_cat_a_5", "pre_cat_a_9",
             "enc_cat_b_2", "enc_paym_11_0", "enc_paym_11_4", "frac_loan_months_max"]
 AGG_MAP = {"is_zero_loans5": "sum", "is_zero_util": "sum", "rn": "max", "pre_cat_a": "min",
@@ -189,21 +192,21 @@ def q_contingency(spark, sf):
     return P.contingency(loans(spark, sf), "pre_cat_a", "enc_cat_b")
 
 
-def _association(spark, sf) -> DataFrame:
-    lo = loans(spark, sf)
+def _association(lo: DataFrame) -> DataFrame:
     return P.association_matrix(lo, [c for c in lo.columns if c not in ("id", "rn")])
 
 
 def q_cramers_v(spark, sf):
-    return _association(spark, sf).select("col_x", "col_y", r6("v").alias("v"))
+    return _association(loans(spark, sf)).select("col_x", "col_y", r6("v").alias("v"))
 
 
 def q_chi_square(spark, sf):
-    return _association(spark, sf).select("col_x", "col_y", r6("chi2").alias("chi2"))
+    return _association(loans(spark, sf)).select("col_x", "col_y", r6("chi2").alias("chi2"))
 
 
 def q_association_band(spark, sf):
-    return P.association_band(_association(spark, sf)).select("col_x", "col_y", r6("v").alias("v"))
+    lo = loans(spark, sf).withColumn(NEAR_COLUMN, F.expr(NEAR_SQL))
+    return P.association_band(_association(lo)).select("col_x", "col_y", r6("v").alias("v"))
 
 
 def _fisher(spark, sf) -> DataFrame:

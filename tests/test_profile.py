@@ -127,14 +127,15 @@ def test_fisher_by_key_equals_row_grain(spark):
             assert a[f][0] == pytest.approx(b[f][0], rel=1e-9)
 
 
-def test_cooccurrence_level_bound(spark):
-    df = spark.range(500).selectExpr("id AS a", "id % 2 AS b")  # ~60 values per task
-    with pytest.raises(Exception, match="more than 10 levels"):
-        P.association_matrix(df, ["a", "b"], max_levels=10).collect()
+def test_association_any_levels_and_partitions(spark):
+    # 6,000 levels in one column, one value pair of which a third of the rows hold
+    rows = spark.range(9000).selectExpr("IF(id < 3000, 0, id - 2999) AS a", "IF(id < 3000, 0, id % 97) AS b",
+                                        "IF(id % 10 = 0, NULL, id % 3) AS c")
+    want = None
+    for parts, cells in ((1, P.MAX_CELLS), (8, P.MAX_CELLS), (3, 50)):  # 50: every batch is yielded at once
+        m = P.association_matrix(rows.repartition(parts), ["a", "b", "c"], max_cells=cells)
+        got = {(r["col_x"], r["col_y"]): (r["n"], r["r"], r["k"], round(r["chi2"], 6), round(r["v"], 9)) for r in m.collect()}
+        want = want or got
+        assert got == want
+    assert want["a", "b"][:3] == (9000, 6001, 97) and want["a", "c"][0] == 8100
 
-
-def test_cooccurrence_total_level_bound(spark):
-    df = spark.range(400).selectExpr("id % 40 AS a", "(id * 7) % 40 AS b")  # 80 levels in every task
-    with pytest.raises(Exception, match="more than 50 levels over all columns"):
-        P.association_matrix(df.coalesce(1), ["a", "b"], max_total_levels=50).collect()
-    assert P.association_matrix(df, ["a", "b"], max_total_levels=100).count() == 4
