@@ -246,7 +246,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
     classes = settle(signed.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("keys").alias("keys")), "classes")
 
     entries = classes.select("cls", F.posexplode("keys").alias("tree", "key"))
-    full = entries.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    # written, so that their size is known before the join: a small one is broadcast and entries and texts aren't shuffled
+    full = settle(entries.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "buckets")
     met = entries.join(full, "key").join(classes.select("cls", "n", "sig"), "cls")
     blocks = met.withColumn("blocks", F.ceil(F.col("m") / BLOCK)).withColumn("own", F.expr("pmod(hash(cls), blocks)"))
     units = blocks.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
@@ -257,7 +258,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
 
     kept = by_unit(units.select(*_UNIT)).mapInArrow(_survivors(depth, threshold), "unit long, side int, tree int, cls long")
     kept = settle(kept, "survivors")
-    wanted = kept.select("cls").distinct().join(classes.select("cls", "copy_id"), "cls").select("copy_id").distinct()
+    wanted = settle(kept.select("cls").distinct().join(classes.select("cls", "copy_id"), "cls").select("copy_id").distinct(), "wanted")
     texts = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["copy_id"]), "left_semi")
     sets = texts.select("text").mapInArrow(_sets, "cls long, shingles binary").groupBy("cls").agg(F.first("shingles").alias("shingles"))
     work = kept.join(classes.select("cls", "n", "sig", "copies"), "cls").join(sets, "cls")
