@@ -63,17 +63,25 @@ def targets_from_loans(loans: DataFrame) -> DataFrame:
             .agg(F.when(overdue >= F.count(F.lit(1)) * cut, F.lit(1)).otherwise(F.lit(0)).alias("flag")))
 
 
-_MATERIALIZED: dict[tuple[str, str, str], str] = {}
+_MATERIALIZED: dict[tuple, str] = {}
+
+
+def _stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Modification time and bytes of an input, so that a rewritten one is derived again."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getFileStatus(at).getModificationTime(), fs.getContentSummary(at).getLength()
 
 
 def _table_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
-    """Write a derived table once per application to the shared checkpoint folder.
+    """Write a derived table once per application and state of ``orders`` to the shared checkpoint folder.
 
     Queries then scan parquet (pruning and pushdown apply) instead of
     re-deriving it, and the written table cuts the lineage."""
     from lendfeat.session import scratch_path
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    orders = f"{sf_dir.rstrip('/')}/orders.parquet"
+    key = (spark.sparkContext.applicationId, orders, _stamp(spark, orders), name)
     path = _MATERIALIZED.get(key)
     if path is None:
         path = scratch_path(spark, name)

@@ -44,3 +44,15 @@ def test_entry_and_registry(spark):
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
     assert len(sql) >= 40
+
+
+def test_rewritten_orders_are_derived_again(spark, tmp_path):
+    from lendfeat.sources.loans import loans
+
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    path = str(tmp_path / "orders.parquet")
+    orders.where("o_orderkey % 2 = 0").write.parquet(path)
+    half = loans(spark, str(tmp_path)).count()
+    assert loans(spark, str(tmp_path)).inputFiles() == loans(spark, str(tmp_path)).inputFiles()  # written once
+    orders.write.mode("overwrite").parquet(path)
+    assert half < loans(spark, str(tmp_path)).count() == orders.count()
