@@ -140,6 +140,6 @@ def test_pipeline_stages(spark, odd, none):
 
 
 def test_registration_without_the_subpackage():
-    code = "import sys; sys.modules['lendfeat.llm'] = None; import __spark_entry__ as e; print(any(k.startswith('op') for k in e.queries()), len(e.oracle_sql()))"
+    code = "import sys; sys.modules['lendfeat.llm'] = None; import __spark_entry__ as e; print(any(k.startswith('op') or k == 'pipeline' for k in [*e.queries(), *e.oracle_sql()]), 'client_features' in e.queries(), len(e.oracle_sql()))"
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=__file__.rsplit("/tests/", 1)[0])
-    assert out.stdout.split() == ["False", "42"], out.stderr
+    assert out.stdout.split() == ["False", "True", "46"], out.stderr
