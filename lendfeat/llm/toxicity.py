@@ -8,10 +8,8 @@ class's counts to the counts that both classes share:
     P_c(w) = max(k_c(w) - D, 0) / K_c + (held back by D) / K_c * P(w)
     P(w)   = (k(w) + 1) / (K + slots)
 
-k counts distinct predecessors, K sums them; without a class they are summed over both.
-A word seen at most D times in a class counts every time; for a frequent word, k is
-estimated from the pairs whose hash falls under a share of about ``SKETCH`` / sightings
-(a sketch of all its pairs with an error of about 1 / sqrt(SKETCH); no rows are left out).
+k counts distinct predecessors exactly, over all counted rows; K sums them; without a class
+they are summed over both.
 The larger class's counts are first scaled to the smaller class's total, so that a word
 which only the larger class had room for is no evidence.  A text's length-normalised
 log-likelihoods are compared (toxic less ordinary, per word) over the whole text and over
@@ -41,7 +39,6 @@ from lendfeat.llm._store import settle
 
 WORD_BITS = 21
 DISCOUNT = 8.0
-SKETCH = 256
 EXPRESSIONS = (1, 2, 3)
 #: Fit bound: rows the logistic curve is fitted on, chosen by hash.
 MAX_CURVE_ROWS = 20_000
@@ -52,38 +49,18 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - WORD_BITS)).astype(np.int64)
 
 
-def _sightings(batches):
-    """Per task and class: the sightings of each slot."""
-    n = np.zeros((2, 1 << WORD_BITS), np.int32)
+def _pairs(batches):
+    """Per chunk and class: distinct pairs of neighbours, with the second word's slot."""
     for batch in batches:
         for label in (0, 1):
             for _, data, ends in T.chunks(batch.filter(pc.equal(batch["label"], label))["text"]):
-                slot, count = np.unique(_slot(T.words(data, ends)[0]), return_counts=True)
-                n[label, slot] += count.astype(np.int32)
-    for label in (0, 1):
-        slot = np.flatnonzero(n[label])
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), label, np.int32)), pa.array(slot.astype(np.int32)), pa.array(n[label, slot].astype(np.int64))], ["label", "word", "n"])
-
-
-def _pairs(held):
-    """Per chunk and class: distinct pairs of neighbours under their word's share, with the second word's slot."""
-
-    def run(batches):
-        for batch in batches:
-            for label in (0, 1):
-                share = held.value[label]
-                for _, data, ends in T.chunks(batch.filter(pc.equal(batch["label"], label))["text"]):
-                    h, _, _, end = T.words(data, ends)
-                    before = np.empty_like(h)
-                    before[1:] = h[:-1]
-                    first = T.begins(end)
-                    before[first[first < end]] = _START
-                    pair, slot = T.mix(before * np.uint64(0x9E3779B97F4A7C15) + h), _slot(h)
-                    kept = np.flatnonzero((pair & np.uint64(0xFFFF)) < share[slot])
-                    pair, at = np.unique(pair[kept], return_index=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), label, np.int32)), pa.array(pair.view(np.int64)), pa.array(slot[kept[at]].astype(np.int32))], ["label", "pair", "word"])
-
-    return run
+                h, _, _, end = T.words(data, ends)
+                before = np.empty_like(h)
+                before[1:] = h[:-1]
+                first = T.begins(end)
+                before[first[first < end]] = _START
+                pair, at = np.unique(T.mix(before * np.uint64(0x9E3779B97F4A7C15) + h), return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), label, np.int32)), pa.array(pair.view(np.int64)), pa.array(_slot(h[at]).astype(np.int32))], ["label", "pair", "word"])
 
 
 def _by_slot(rows: DataFrame, value: str) -> np.ndarray:
@@ -160,12 +137,8 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Kneser
     rows = settle(rows, "toxicity-rows")
     part, slots = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(10)), 1 << WORD_BITS
     counted = rows.where(part != 0)
-    n = _by_slot(counted.mapInArrow(_sightings, "label int, word int, n long").groupBy("label", "word").agg(F.sum("n").alias("n")), "n")
-    share = np.where(n > DISCOUNT, np.ceil(65536 * np.minimum(1, SKETCH / np.maximum(n, 1))), 0)
-    held = labelled.sparkSession.sparkContext.broadcast(share.astype(np.uint32))
-    pairs = counted.mapInArrow(_pairs(held), "label int, pair long, word int").distinct()
+    pairs = counted.mapInArrow(_pairs, "label int, pair long, word int").distinct()
     k = _by_slot(pairs.groupBy("label", "word").agg(F.count("*").alias("k")), "k")
-    k = np.where(n > DISCOUNT, k * 65536 / np.maximum(share, 1), n)
     sizes = k.sum(1, keepdims=True)
     if not sizes.all():
         return KneserNey(np.zeros(slots, np.float32), np.zeros(0))

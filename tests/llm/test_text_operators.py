@@ -108,6 +108,18 @@ def test_toxicity_finds_planted_words(spark, odd, none):
     assert X.score(odd.drop("score"), X.fit(none.withColumn("toxic", F.lit(1)))).where("score = 0 and predicted = 0").count() == 11
 
 
+def test_toxicity_counts_predecessors_of_hot_words_exactly(spark):
+    from lendfeat.llm import toxicity as X
+
+    # each hot word is seen some 100,000 times, always after one of 50 words
+    hot, after = [f"vile{j}" for j in range(5)], [f"w{i}" for i in range(50)]
+    rows = [(f"t{n} " + " ".join([f"{w} {h}" for w in after for h in hot] * 40), 1) for n in range(56)]
+    rows += [(f"o{n} " + " ".join(f"{w} mild{j}" for w in after for j in range(5)), 0) for n in range(56)]
+    model = X.fit(spark.createDataFrame(rows, "text string, toxic int"))
+    d = model.differences(pa.array([*hot, *[f"mild{j}" for j in range(5)]]))[:, 0]
+    assert (d[:5] > 1).all() and (d[5:] < -1).all() and np.ptp(d[:5]) < 1e-6 and np.ptp(d[5:]) < 1e-6
+
+
 def test_license_spans_and_repeats(spark, odd, none):
     from lendfeat.llm import license_scan as S
 
