@@ -6,7 +6,7 @@ many documents repeat counts once.  A rare expression's probability falls back f
 class's counts to the counts that both classes share:
 
     P_c(w) = max(k_c(w) - D, 0) / K_c + (held back by D) / K_c * P(w)
-    P(w)   = (k(w) + 1) / (K + slots)
+    P(w)   = (k(w) + 1) / (K + words + 1)
 
 k counts distinct predecessors exactly, over all counted rows; K sums them; without a class
 they are summed over both.
@@ -16,8 +16,9 @@ log-likelihoods are compared (toxic less ordinary, per word) over the whole text
 its most telling expression of 1, 2 or 3 words; a logistic curve fitted on labelled rows
 held back from the counts turns the comparison into a score.
 
-Counts cover every labelled row handed in but the curve's.  Words are counted in
-``1 << WORD_BITS`` hash slots, so the model's size is fixed.
+Counts cover every labelled row handed in but the curve's.  They are a table with a row for
+every word, by its 64-bit hash, so the model grows with the labelled vocabulary: 12 bytes a
+word reach the driver and each task that scores.  All words that weren't counted are alike.
 
 Defined results: null and empty texts are scored like a text that says nothing (the
 curve at zero difference).  Without rows of both classes every score is 0.  Extra
@@ -37,7 +38,6 @@ from pyspark.sql import functions as F
 from lendfeat.llm import _text as T
 from lendfeat.llm._store import settle
 
-WORD_BITS = 21
 DISCOUNT = 8.0
 EXPRESSIONS = (1, 2, 3)
 #: Fit bound: rows the logistic curve is fitted on, chosen by hash.
@@ -45,12 +45,8 @@ MAX_CURVE_ROWS = 20_000
 _START = np.uint64(0x51ED270B27220AEB)
 
 
-def _slot(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-
-
 def _pairs(batches):
-    """Per chunk and class: distinct pairs of neighbours, with the second word's slot."""
+    """Per chunk and class: distinct pairs of neighbours, with the second word."""
     for batch in batches:
         for label in (0, 1):
             for _, data, ends in T.chunks(batch.filter(pc.equal(batch["label"], label))["text"]):
@@ -60,29 +56,32 @@ def _pairs(batches):
                 first = T.begins(end)
                 before[first[first < end]] = _START
                 pair, at = np.unique(T.mix(before * np.uint64(0x9E3779B97F4A7C15) + h), return_index=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), label, np.int32)), pa.array(pair.view(np.int64)), pa.array(_slot(h[at]).astype(np.int32))], ["label", "pair", "word"])
-
-
-def _by_slot(rows: DataFrame, value: str) -> np.ndarray:
-    """[2, slots] of (label, word, value): at most two rows a slot."""
-    out, got = np.zeros((2, 1 << WORD_BITS)), rows.toArrow()
-    out[got["label"].to_numpy(), got["word"].to_numpy()] = got[value].to_numpy()
-    return out
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), label, np.int32)), pa.array(pair.view(np.int64)), pa.array(h[at].view(np.int64))], ["label", "pair", "word"])
 
 
 @dataclass
 class KneserNey:
-    """evidence[slot]: log-likelihood of a word, toxic less ordinary; curve: weights of the logistic curve."""
+    """words: hashes of the counted words, ascending; evidence[i]: log-likelihood of words[i], toxic less ordinary;
+    unknown: that of any other word; curve: weights of the logistic curve."""
 
+    words: np.ndarray
     evidence: np.ndarray
+    unknown: float
     curve: np.ndarray
 
+    def of(self, h: np.ndarray) -> np.ndarray:
+        """Evidence of each word."""
+        if not len(self.words):
+            return np.full(len(h), self.unknown)
+        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
+        return np.where(self.words[at] == h, self.evidence[at], self.unknown)
+
     def differences(self, texts: pa.Array) -> np.ndarray:
         """Per text: mean difference over its words, and the largest sum over an expression."""
         out = np.zeros((len(texts), 2))
         for at, data, ends in T.chunks(texts):
             h, _, _, end = T.words(data, ends)
-            d, words = self.evidence[_slot(h)], np.diff(end, prepend=0)
+            d, words = self.of(h), np.diff(end, prepend=0)
             rows = slice(at, at + len(ends))
             out[rows, 0] = T.per_text(d, end) / np.maximum(1, words)
             out[rows, 1] = np.max([_best(d, end, words, n) for n in EXPRESSIONS], axis=0)
@@ -135,18 +134,23 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Kneser
     """Counts from nine tenths of the rows (by hash of the text), curve from the rest."""
     rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label")).where("text is not null and label in (0, 1)")
     rows = settle(rows, "toxicity-rows")
-    part, slots = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(10)), 1 << WORD_BITS
-    counted = rows.where(part != 0)
-    pairs = counted.mapInArrow(_pairs, "label int, pair long, word int").distinct()
-    k = _by_slot(pairs.groupBy("label", "word").agg(F.count("*").alias("k")), "k")
-    sizes = k.sum(1, keepdims=True)
-    if not sizes.all():
-        return KneserNey(np.zeros(slots, np.float32), np.zeros(0))
-    k *= sizes.min() / sizes
-    shared = (k.sum(0) + 1) / (k.sum() + slots)
-    kept, total = np.maximum(k - DISCOUNT, 0), sizes.min()
-    ordinary, toxic = kept / total + (1 - kept.sum(1, keepdims=True) / total) * shared
-    model = KneserNey(np.log(toxic / ordinary).astype(np.float32), np.zeros(0))
+    part = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(10))
+    pairs = rows.where(part != 0).mapInArrow(_pairs, "label int, pair long, word long").distinct()
+    by_label = [F.count_if(F.col("label") == c).alias(f"k{c}") for c in (0, 1)]
+    counts = settle(pairs.groupBy("word").agg(*by_label), "toxicity-counts")
+    sums = counts.agg(F.sum("k0").alias("k0"), F.sum("k1").alias("k1"), F.count("*").alias("n")).first()
+    if not sums["k0"] or not sums["k1"]:
+        return KneserNey(np.zeros(0, np.uint64), np.zeros(0, np.float32), 0.0, np.zeros(0))
+    total = min(sums["k0"], sums["k1"])
+    scaled = [F.col(f"k{c}") * (total / sums[f"k{c}"]) for c in (0, 1)]
+    kept = [F.greatest(k - DISCOUNT, F.lit(0.0)) / total for k in scaled]
+    held_back = [1 - x for x in counts.agg(*[F.sum(k) for k in kept]).first()]
+    shared = (scaled[0] + scaled[1] + 1) / (2 * total + sums["n"] + 1)
+    ordinary, toxic = (kept[c] + held_back[c] * shared for c in (0, 1))
+    known = counts.select("word", F.log(toxic / ordinary).cast("float").alias("evidence")).toArrow()
+    words, evidence = known["word"].to_numpy().view(np.uint64), known["evidence"].to_numpy()
+    order = np.argsort(words)
+    model = KneserNey(words[order], evidence[order], float(np.log(held_back[1] / held_back[0])), np.zeros(0))
 
     curve = rows.where(part == 0)
     rate = min(1.0, MAX_CURVE_ROWS / max(1, curve.count()))

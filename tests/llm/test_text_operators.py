@@ -120,6 +120,23 @@ def test_toxicity_counts_predecessors_of_hot_words_exactly(spark):
     assert (d[:5] > 1).all() and (d[5:] < -1).all() and np.ptp(d[:5]) < 1e-6 and np.ptp(d[5:]) < 1e-6
 
 
+def test_toxicity_keeps_words_apart(spark):
+    from lendfeat.llm import _text as T
+    from lendfeat.llm import toxicity as X
+
+    # ordinary words that share the upper 21 bits of their hash with the toxic one
+    def upper(words):
+        data = "".join(f"{w}\n" for w in words).encode()
+        return T.words(np.frombuffer(data, np.uint8), np.array([len(data)]))[0] >> np.uint64(43)
+    many = [f"c{i}" for i in range(1 << 22)]
+    mild = [many[i] for i in np.flatnonzero(upper(many) == upper(["vile"]))]
+    assert mild
+    rows = [(f"w{n} vile", 1) for n in range(200)] + [(f"w{n} {mild[0]} x{n} so", 0) for n in range(400)]
+    model = X.fit(spark.createDataFrame(rows, "text string, toxic int"))
+    d = model.differences(pa.array(["vile", mild[0]]))[:, 0]
+    assert d[0] > 1 and d[1] < -1
+
+
 def test_license_spans_and_repeats(spark, odd, none):
     from lendfeat.llm import license_scan as S
 
