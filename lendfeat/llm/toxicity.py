@@ -5,13 +5,13 @@ lower orders, a word counts by the number of distinct words it follows, so a pas
 many documents repeat counts once.  A rare expression's probability falls back from its
 class's counts to the counts that both classes share:
 
-    P_c(w) = max(k_c(w) - D, 0) / K_c + (held back by D) / K_c * P(w)
+    P_c(w) = (k_c(w) - D) / K_c + (held back by D) / K_c * P(w)
     P(w)   = (k(w) + 1) / (K + words + 1)
 
 k counts distinct predecessors exactly, over all counted rows; K sums them; without a class
-they are summed over both.
-The larger class's counts are first scaled to the smaller class's total, so that a word
-which only the larger class had room for is no evidence.  A text's length-normalised
+they are summed over both.  D is Kneser-Ney's own discount of a count of 1, of 2 and of 3 or
+more, estimated from how many counts of all labelled rows are 1, 2, 3 and 4; it is less than
+the count, so a word seen once keeps evidence.  A text's length-normalised
 log-likelihoods are compared (toxic less ordinary, per word) over the whole text and over
 its most telling expression of 1, 2 or 3 words; a logistic curve fitted on labelled rows
 held back from the counts turns the comparison into a score.
@@ -32,13 +32,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendfeat.llm import _text as T
 from lendfeat.llm._store import settle
 
-DISCOUNT = 8.0
+#: Discounts where the counts of counts give none.
+FALLBACK = (0.5, 1.0, 1.5)
 EXPRESSIONS = (1, 2, 3)
 #: Fit bound: rows the logistic curve is fitted on, chosen by hash.
 MAX_CURVE_ROWS = 20_000
@@ -130,6 +131,20 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFra
     return likely.join(labels.hint("merge"), key)
 
 
+def discounts(n: list[int]) -> tuple[float, float, float]:
+    """Kneser-Ney's discounts of counts 1, 2 and 3 or more (Chen and Goodman), n: how many counts are 1 to 4."""
+    if all(n):
+        y = n[0] / (n[0] + 2 * n[1])
+        d = tuple(c - (c + 1) * y * n[c] / n[c - 1] for c in (1, 2, 3))
+        if all(0 < x < c for c, x in zip((1, 2, 3), d)):
+            return d
+    return FALLBACK
+
+
+def _kept(k: Column, d: tuple[float, float, float]) -> Column:
+    return F.when(k >= 3, k - d[2]).when(k == 2, 2 - d[1]).when(k == 1, 1 - d[0]).otherwise(0.0)
+
+
 def fit(labelled: DataFrame, text: str = "text", label: str = "toxic") -> KneserNey:
     """Counts from nine tenths of the rows (by hash of the text), curve from the rest."""
     rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label")).where("text is not null and label in (0, 1)")
@@ -138,14 +153,14 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Kneser
     pairs = rows.where(part != 0).mapInArrow(_pairs, "label int, pair long, word long").distinct()
     by_label = [F.count_if(F.col("label") == c).alias(f"k{c}") for c in (0, 1)]
     counts = settle(pairs.groupBy("word").agg(*by_label), "toxicity-counts")
-    sums = counts.agg(F.sum("k0").alias("k0"), F.sum("k1").alias("k1"), F.count("*").alias("n")).first()
+    of_count = [F.count_if(F.col(f"k{c}") == n).alias(f"n{c}{n}") for c in (0, 1) for n in (1, 2, 3, 4)]
+    sums = counts.agg(F.sum("k0").alias("k0"), F.sum("k1").alias("k1"), F.count("*").alias("n"), *of_count).first()
     if not sums["k0"] or not sums["k1"]:
         return KneserNey(np.zeros(0, np.uint64), np.zeros(0, np.float32), 0.0, np.zeros(0))
-    total = min(sums["k0"], sums["k1"])
-    scaled = [F.col(f"k{c}") * (total / sums[f"k{c}"]) for c in (0, 1)]
-    kept = [F.greatest(k - DISCOUNT, F.lit(0.0)) / total for k in scaled]
+    d = discounts([sums[f"n0{n}"] + sums[f"n1{n}"] for n in (1, 2, 3, 4)])
+    kept = [_kept(F.col(f"k{c}"), d) / sums[f"k{c}"] for c in (0, 1)]
     held_back = [1 - x for x in counts.agg(*[F.sum(k) for k in kept]).first()]
-    shared = (scaled[0] + scaled[1] + 1) / (2 * total + sums["n"] + 1)
+    shared = (F.col("k0") + F.col("k1") + 1) / (sums["k0"] + sums["k1"] + sums["n"] + 1)
     ordinary, toxic = (kept[c] + held_back[c] * shared for c in (0, 1))
     known = counts.select("word", F.log(toxic / ordinary).cast("float").alias("evidence")).toArrow()
     words, evidence = known["word"].to_numpy().view(np.uint64), known["evidence"].to_numpy()

@@ -137,6 +137,19 @@ def test_toxicity_keeps_words_apart(spark):
     assert d[0] > 1 and d[1] < -1
 
 
+def test_toxicity_keeps_rare_expressions(spark):
+    from lendfeat.llm import toxicity as X
+
+    rng = np.random.default_rng(9)
+    word = [f"w{i}" for i in range(500)]
+    rows = [(" ".join(rng.choice(word, 20)), int(i % 2)) for i in range(1000)]
+    rows += [(f"{word[i]} vile{i // 5} {word[i + 1]} n{i}", 1) for i in range(30)]
+    model = X.fit(spark.createDataFrame(rows, "text string, toxic int"))
+    d = model.differences(pa.array([f"vile{j}" for j in range(6)]))[:, 0]
+    assert (d > 1).all()
+    assert X.discounts([0, 1, 1, 1]) == X.FALLBACK and np.allclose(X.discounts([100, 40, 20, 10]), [1 - 80 / 180, 2 - 3 * 20 * 100 / 180 / 40, 3 - 4 * 10 * 100 / 180 / 20])
+
+
 def test_license_spans_and_repeats(spark, odd, none):
     from lendfeat.llm import license_scan as S
 
