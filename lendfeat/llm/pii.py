@@ -4,10 +4,12 @@ Base spans (email, ip, card, phone) are found leftmost and without overlap per k
 that fails its check (parts over 255, no Luhn sum, wrong number of digits) is dropped.
 
 Information-theoretic sanitisation: each distinct base value is a protected entity e.  Over all
-distinct texts, n(e) hold the entity, n(t) the term t, and n(t, e) hold t within ``NEAR`` words
-of e.  A term discloses an entity if P(e | t) = n(t, e) / n(t) reaches ``DISCLOSED`` with at
-least ``SUPPORT`` texts behind it: who reads the term can tell the entity, and log2 P(e | t) / P(e)
-bits with it.  Such a term is a span of kind ``term`` wherever a text holds it; in sanitised
+distinct texts, P(e) = n(e) / texts hold the entity, n(t) the term t, and n(t, e) hold e and, anywhere
+outside of base spans, t.  A term discloses an entity if the smoothed P(e | t) =
+(n(t, e) + PRIOR * P(e)) / (n(t) + PRIOR) reaches ``DISCLOSED``: who reads the term can tell the entity,
+and log2 P(e | t) / P(e) bits with it.  So a term that two texts share with an entity, and no other
+text holds, discloses it; one that a single text holds is no evidence (else every word that is
+unique to a text with an address would be taken), unless P(e) is 1/4 or more.  Such a term is a span of kind ``term`` wherever a text holds it; in sanitised
 text it is removed if it gives away ``REMOVED`` bits and else generalised to its kind of word.
 
 DataFrame and SQL functions only.  Spans come from one replacement that marks the matches and
@@ -28,8 +30,7 @@ from pyspark.sql import functions as F
 from lendfeat.llm._store import settle
 
 KINDS = ("email", "ip", "card", "phone")
-NEAR = 6
-SUPPORT = 8
+PRIOR = 2.0
 DISCLOSED = 0.5
 REMOVED = 12.0
 
@@ -107,40 +108,50 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({_WORD})"))
 
 
+def _smoothed(n_both: str, n_term: str) -> Column:
+    return (F.col(n_both) + PRIOR * F.col("p_entity")) / (F.col(n_term) + PRIOR)
+
+
 def disclosing(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """(_hash, term, bits, instead): the disclosing terms of each text that holds any; instead is
     what generalises the term, or empty to remove it.
 
-    found: text_hash, near (array of struct(entity, terms)) for texts with base spans.
+    found: text_hash, entities (array of hashes) for texts with base spans.
     """
-    pairs = found.select("text_hash", F.explode("near").alias("n")).select("text_hash", "n.entity", F.explode(F.array_distinct("n.terms")).alias("term")).distinct()
-    both = settle(pairs.groupBy("term", "entity").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= SUPPORT), "pii-pairs")
     texts = docs.select(F.col(text).alias("text")).where("text is not null")
     n_texts = texts.select(F.xxhash64("text").alias("h")).distinct().count()
-    n_entity = found.select("text_hash", F.explode("near.entity").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    # only the terms that stand near an entity often enough need their count over all texts
+    holders = found.select("text_hash", F.explode("entities").alias("entity")).distinct()
+    # n(t, e) is at most n(e) and n(t): what can't reach the score at equality is left out, no term is lost by it
+    entities = holders.groupBy("entity").agg(F.count("*").alias("n_entity")).withColumn("p_entity", F.col("n_entity") / F.lit(max(1, n_texts)))
+    entities = settle(entities.where(_smoothed("n_entity", "n_entity") >= DISCLOSED), "pii-entities")
+    held = settle(holders.join(entities.select("entity"), "entity").groupBy("text_hash").agg(F.collect_list("entity").alias("entities")), "pii-holders")
+    # one row of each distinct text
+    whole = texts.select(F.xxhash64("text").alias("text_hash"), "text").join(held.select("text_hash"), "text_hash", "left_semi")
+    terms = whole.select("text_hash", F.array_distinct(_words(_without_base(F.col("text")))).alias("terms")).dropDuplicates(["text_hash"])
+    pairs = held.join(terms, "text_hash").select(F.explode("terms").alias("term"), "entities").select("term", F.explode("entities").alias("entity"))
+    both = pairs.groupBy("term", "entity").agg(F.count("*").alias("n_both")).join(entities, "entity")
+    both = settle(both.where(_smoothed("n_both", "n_both") >= DISCLOSED), "pii-pairs")
+    # only these terms need their count over all texts
     wanted = settle(both.select("term").where(~F.col("term").isin(*KINDS)).distinct(), "pii-terms")
-    holds = texts.select(F.xxhash64("text").alias("_hash"), F.explode(_words(F.col("text"))).alias("term")).join(wanted, "term", "left_semi")
+    holds = texts.select(F.xxhash64("text").alias("_hash"), F.explode(F.array_distinct(_words(F.col("text")))).alias("term")).join(wanted, "term", "left_semi")
     holds = settle(holds.distinct(), "pii-holds")
     n_term = holds.groupBy("term").agg(F.count("*").alias("n_term"))
-    scored = both.join(n_term, "term").join(n_entity, "entity").withColumn("p", F.col("n_both") / F.col("n_term")).where(F.col("p") >= DISCLOSED)
-    by_term = scored.groupBy("term").agg(F.max(F.log2(F.col("p") * n_texts / F.col("n_entity"))).alias("bits"))
+    scored = both.join(n_term, "term").withColumn("p", _smoothed("n_both", "n_term")).where(F.col("p") >= DISCLOSED)
+    by_term = scored.groupBy("term").agg(F.max(F.log2(F.col("p") / F.col("p_entity"))).alias("bits"))
     kind = F.when(F.col("term").rlike(r"^\p{N}+$"), "<NUMBER>").otherwise("<WORD>")
     return settle(holds.join(by_term.withColumn("instead", F.when(F.col("bits") < REMOVED, kind).otherwise("")), "term"), "pii-disclosing")
 
 
-def _near(text: Column) -> Column:
-    """For every base span the words around it."""
-    cut = 24 * NEAR  # code points that hold that many words of usual length
-    around = lambda s: F.struct(
-        F.xxhash64(s["value"]).alias("entity"),
-        F.concat(
-            F.slice(F.reverse(F.concat(F.array(F.lit("")), _words(F.substr(text, F.greatest(s["start"] - cut, F.lit(0)) + 1, F.least(s["start"], F.lit(cut)))))), 1, NEAR),
-            F.slice(F.concat(_words(F.substr(text, s["end"] + 1, F.lit(cut))), F.array(F.lit(""))), 1, NEAR),
-        ).alias("terms"),
-    )
-    every = F.concat(*[F.col(k) for k in KINDS])
-    return F.transform(every, lambda s: around(s)).alias("near")
+def _swap(kind: str, to: str):
+    return lambda p, i: F.when((i % 2 == 1) & _valid(kind, p), F.lit(to)).otherwise(p)
+
+
+def _without_base(text: Column) -> Column:
+    """Text with a space for every base span."""
+    text = _plain(text)
+    for kind in KINDS:
+        text = F.array_join(F.transform(_pieces(text, _PATTERNS[kind]), _swap(kind, " ")), "")
+    return text
 
 
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -148,10 +159,9 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[D
     (start, end, value); and what disclosing() returns."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     based = base_spans(rows)
-    some = F.size(F.concat(*[F.col(k) for k in KINDS])) > 0
-    found = based.where(some).select(F.xxhash64("text").alias("text_hash"), F.col("text"), _near(_plain(F.col("text"))))
-    tidy = F.transform("near", lambda n: F.struct(n["entity"].alias("entity"), F.filter(n["terms"], lambda t: t != "").alias("terms")))
-    terms = disclosing(settle(found.select("text_hash", tidy.alias("near")), "pii-near"), rows)
+    every = F.concat(*[F.col(k) for k in KINDS])
+    found = based.where(F.size(every) > 0).select(F.xxhash64("text").alias("text_hash"), F.array_distinct(F.transform(every, lambda s: F.xxhash64(s["value"]))).alias("entities"))
+    terms = disclosing(settle(found, "pii-found"), rows)
     held = terms.groupBy("_hash").agg(F.collect_set("term").alias("_terms"))
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     joined = based.withColumn("_hash", F.xxhash64("text")).join(settle(held, "pii-held"), "_hash", "left")
@@ -159,10 +169,6 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[D
     return joined.withColumn("term", F.when(F.col("_terms").isNotNull(), spans).otherwise(none)).drop("_hash", "_terms"), terms
 
 
-def _swap(kind: str):
-    return lambda p, i: F.when((i % 2 == 1) & _valid(kind, p), F.lit(f"<{kind.upper()}>")).otherwise(p)
-
-
 def sanitise(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
     """docs with base values replaced by <EMAIL>, <IP>, <CARD>, <PHONE> and disclosing terms
     (of disclosing(), over the same texts) generalised or removed."""
@@ -171,7 +177,7 @@ def sanitise(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame
     for kind in KINDS:
         now, need = _plain(F.col(text)), _NEEDS.get(kind)
         there = F.instr(now, need) > 0 if need else now.rlike(r"[0-9][\x20-]?[0-9]" if kind == "card" else r"[0-9]\.[0-9]")
-        docs = docs.withColumn(text, F.when(there, F.array_join(F.transform(_pieces(now, _PATTERNS[kind]), _swap(kind)), "")).otherwise(F.col(text)))
+        docs = docs.withColumn(text, F.when(there, F.array_join(F.transform(_pieces(now, _PATTERNS[kind]), _swap(kind, f"<{kind.upper()}>")), "")).otherwise(F.col(text)))
     swapped = F.transform(_pieces(_plain(F.col(text)), _WORD), lambda p, i: F.when(i % 2 == 1, F.coalesce(F.try_element_at("_instead", F.lower(p)), p)).otherwise(p))
     return docs.withColumn(text, F.when(F.col("_instead").isNotNull(), F.array_join(swapped, "")).otherwise(F.col(text))).drop("_hash", "_instead")
 

@@ -232,3 +232,14 @@ def test_disclosing_terms(spark):
     assert {r["doc_id"]: [s["value"] for s in r["term"]] for r in found.where("doc_id in (0, 200)").collect()} == {0: ["zorblatt", "at"], 200: ["zorblatt"]}
     clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df, terms).collect()}
     assert clean[0] == "note 0 from <WORD> <WORD> <EMAIL> today w0" and clean[200] == "<WORD> again" and clean[100] == rows[12][1]
+
+
+def test_disclosing_terms_of_rare_entities_and_far_words(spark):
+    from lendfeat.llm import pii
+
+    fill = " ".join(f"and word {i % 9}" for i in range(100))
+    rows = [(i, f"Kwibble notes{i} {fill} write to kw@corp.example") for i in range(3)]
+    rows += [(10 + i, f"hello {fill} no{i}") for i in range(40)] + [(100, f"once {fill} call +1 456 555 2186")]
+    found, _ = pii.find(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: {s["value"] for s in r["term"]} for r in found.collect()}
+    assert all(got[i] == {"Kwibble", "write", "to"} for i in range(3)) and not any(got[i] for i in (10, 100))
