@@ -106,9 +106,10 @@ def q_importances(spark, sf):
 def q_mlp_scores(spark, sf):
     fm, marked = _clients(spark, sf)
     train, test = _parts(marked)
-    balanced = S.downsample(train, "id", "target", SEED)
+    # counted, then read once per step
+    balanced = S.downsample(train, "id", "target", SEED).checkpoint()
     names = fm.getManifest()
-    model = M.fit_classifier(balanced, names, M.mlp(len(names)))
+    model = M.fit_classifier(balanced, names, M.mlp(len(names), maxIter=M.MLP_EPOCHS * M.mlp_steps(balanced.count())))
     path = scratch_path(spark, "mlp_model")
     M.save_model(model, path)  # S8
     return M.scored(M.load_model(path), test)
