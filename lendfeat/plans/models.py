@@ -6,9 +6,8 @@ held-out part.  The client table is checkpointed to the shared checkpoint
 folder before the iterative trainers read it, so a lost executor re-reads
 parquet instead of recomputing the feature aggregate.
 
-Fitted models run the presets unchanged.  Only the cross-validation searches take
-their boosting rounds from a parameter (``CV_TREES``): at the presets' rounds they
-would fit some 16,000 trees.
+Fitted models and cross-validation searches run the presets unchanged; the tuned
+preset stops early on a validation slice of the rows it is fitted on.
 """
 
 from __future__ import annotations
@@ -26,7 +25,6 @@ from lendfeat.sources import readers as R
 from lendfeat.sources.loans import loans, targets
 
 # Fixed values of the registered model queries.
-CV_TREES = 5
 CV_FOLDS_GBT, CV_FOLDS_HGB, CV_FOLDS_ALL = 4, 5, 5
 CV_JOBS_GBT, CV_JOBS_HGB = 2, 4
 VALIDATION_FRACTION = 0.2
@@ -61,19 +59,25 @@ def q_cv_results(spark, sf):
     train, _ = _parts(marked)
     names = fm.getManifest()
     data = M.assembler(names).transform(M.balanced_weights(train, "target"))
-    est = M.gbt(M.LGBM_FINAL, maxIter=CV_TREES)
+    est = M.gbt(M.LGBM_FINAL)
     g1 = ParamGridBuilder().addGrid(est.maxDepth, [3, 5]).addGrid(est.minInstancesPerNode, [1, 20]).build()
     r1, _ = M.cross_validate(spark, est, g1, S.folds(data, "id", "target", CV_FOLDS_GBT, SEED),
                           "fold", CV_FOLDS_GBT, parallelism=CV_JOBS_GBT, name="gbt")
-    hgb = M.gbt(M.HGB_DEFAULT, maxIter=CV_TREES)
+    hgb = M.gbt(M.HGB_DEFAULT)
     g2 = ParamGridBuilder().addGrid(hgb.minInstancesPerNode, [1, 20]).build()
     r2, _ = M.cross_validate(spark, hgb, g2, S.folds(data, "id", "target", CV_FOLDS_HGB, SEED),
                           "fold", CV_FOLDS_HGB, parallelism=CV_JOBS_HGB, name="hgb")
     # M7: the chosen configuration cross-validated on all clients
     allc = M.assembler(names).transform(M.balanced_weights(marked.drop("is_test"), "target"))
-    final = M.gbt(M.LGBM_TUNED, maxIter=CV_TREES)
+    final = M.gbt(M.LGBM_TUNED, validation="is_val")
     g3 = ParamGridBuilder().addGrid(final.maxDepth, [M.LGBM_TUNED.params["maxDepth"]]).build()
-    r3, _ = M.cross_validate(spark, final, g3, S.folds(allc, "id", "target", CV_FOLDS_ALL, SEED),
+    # the slice is cut inside every fold, so each fit stops early on rows of its own and not on the fold it is scored on
+    folded = S.folds(allc, "id", "target", CV_FOLDS_ALL, SEED).checkpoint()
+    sliced = None
+    for f in range(CV_FOLDS_ALL):
+        part = S.stratified_split(folded.where(F.col("fold") == f), "id", "target", VALIDATION_FRACTION, SEED + 1, flag="is_val")
+        sliced = part if sliced is None else sliced.unionByName(part)
+    r3, _ = M.cross_validate(spark, final, g3, sliced.withColumn("is_val", F.col("is_val") == 1),
                           "fold", CV_FOLDS_ALL, name="final_all_clients")
     return M.rank_results(M.append_results(M.append_results(r1, r2), r3))
 
