@@ -102,3 +102,9 @@ def per_text(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, np.int64 if values.dtype.kind in "biu" else np.float64)
     np.cumsum(values, out=total[1:])
     return total[ends] - total[begins(ends)]
+
+
+def spread(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... for n places of each."""
+    total = np.cumsum(n)
+    return np.repeat(begin - (total - n), n) + np.arange(total[-1] if len(total) else 0)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendfeat.llm import ann_blocks, jaccard_join, language_id, license_scan, mixing, packing, pii, prepare, sharding, topk_uniform, toxicity
+from lendfeat.llm import ann_blocks, importance_resampling, jaccard_join, language_id, lexical_search, license_scan, mixing, packing, pii, piece_agenda, prepare, sharding, topk_uniform, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,24 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(pii.listed(list(pii.KINDS)), 256).alias("base_sha256"), pii.listed([*pii.KINDS, "term"]).alias("spans"))
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op11_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_agenda.encode(_table(spark, sf_dir, "documents"), piece_model_path())
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,7 +100,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_language_id, op2_jaccard_join, op3_toxicity, op4_license_scan, op5_nearest_neighbours, op6_sharding, op7_mixing, op8_exact_topk, op9_packing, op10_pii, pipeline)
+    every = (op1_language_id, op2_jaccard_join, op3_toxicity, op4_license_scan, op5_nearest_neighbours, op6_sharding, op7_mixing, op8_exact_topk, op9_packing, op10_pii, op11_piece_agenda, op12_lexical_search, op13_importance_resampling, pipeline)
 
     def ready(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,10 +128,68 @@ WITH used AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {k}"""
 
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_LEXICAL_SQL = rf"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL
+), docs AS (SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM split WHERE len(w) > 0
+), sums AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_all FROM docs
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), freq AS (SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS term FROM docs) GROUP BY r, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM freq, sums GROUP BY term
+), scored AS (
+  SELECT a.item_id, f.r, d.doc_id, CAST(sum(w.w * ((1000000000 * f.tf) // (1000 * f.tf + 8 * (10 + (90 * d.n * s.n_docs) // s.n_all)))) AS BIGINT) AS score
+  FROM asked a JOIN freq f USING (term) JOIN weights w USING (term) JOIN docs d ON d.r = f.r CROSS JOIN sums s
+  GROUP BY a.item_id, f.r, d.doc_id
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+# the CRC-32 of each distinct feature, byte by byte over its table
+_RESAMPLING_SQL = rf"""
+WITH crc AS (
+  SELECT list(list_reduce([i::BIGINT] || [0::BIGINT FOR x IN range(8)], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)
+), split AS (
+  SELECT 0 AS side, row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 1, row_number() OVER (), item_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+), had AS (
+  SELECT side, r, unnest(w || [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS f FROM split
+), counted AS (SELECT side, r, f, count(*) AS n FROM had GROUP BY side, r, f
+), distinct_features AS (SELECT DISTINCT f FROM counted
+), hashed AS (
+  SELECT f, xor(list_reduce([4294967295::BIGINT] || [('0x' || substr(hex(encode(f)), (2 * i + 1)::BIGINT, 2))::BIGINT FOR i IN range(len(hex(encode(f))) // 2)],
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM distinct_features, crc
+), sums AS (
+  SELECT bucket, sum(n) FILTER (side = 0) AS s, sum(n) FILTER (side = 1) AS t FROM counted JOIN hashed USING (f) GROUP BY bucket
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (sum(s) OVER () + 10000)::DOUBLE / ((coalesce(s, 0)::DOUBLE + 1) * (coalesce(sum(t) OVER (), 0) + 10000)::DOUBLE))) AS BIGINT) AS gain FROM sums
+), means AS (
+  SELECT r, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS total FROM counted JOIN hashed USING (f) JOIN gains USING (bucket) WHERE side = 0 GROUP BY r
+), scored AS (
+  SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_features, 0) AS n_features,
+    coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0) AS weight,
+    CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(d.doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS noise
+  FROM split d LEFT JOIN means m ON d.r = m.r WHERE d.side = 0
+), ranked AS (
+  SELECT *, weight + noise AS score, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY weight + noise DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_words >= 20) AS able FROM scored
+)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CASE WHEN n_words >= 20 AND place <= 25 * able // 100 THEN CAST(place AS BIGINT) END AS rank FROM ranked"""
+
+
 def oracle_sql() -> dict[str, str]:
     # plain sums in component order, as the operators add them
     whole = "[floor(256 * x::DOUBLE) FOR x IN embedding]"
     return {
         "op5_nearest_neighbours": _topk_sql("q.vec_id % 20 = 0", 20, "embedding::DOUBLE[]", "DOUBLE", "list_inner_product(q.v, c.v)", "AND len([x FOR x IN embedding IF x <> 0]) > 0"),
         "op8_exact_topk": _topk_sql("q.vec_id % 50 = 0", 5, whole, "BIGINT", "list_inner_product(q.v, c.v)", ""),
+        "op12_lexical_search": _LEXICAL_SQL,
+        "op13_importance_resampling": _RESAMPLING_SQL,
     }
