@@ -17,7 +17,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendfeat.operators.ranking import hash_bucket, segment_by_rank, seeded_hash_keys
+from lendfeat.operators.ranking import hash_bucket, rank_within, segment_by_rank, seeded_hash_keys
 
 HASH = "__h"
 SEG = "__seg"
@@ -83,3 +83,12 @@ def shuffled(df: DataFrame, key, seed: int = 44) -> DataFrame:
     """Rows in the order of (seeded hash of the key, key), the same however they are partitioned."""
     keys = _keys(key)
     return df.orderBy(seeded_hash_keys(keys, seed, "shuffle"), *keys)
+
+
+def shuffled_batches(df: DataFrame, key, size: int, seed: int = 44) -> DataFrame:
+    """X4 for mini-batches: ``pos``, the row's place (from 0) in the order of (seeded hash of the key, key), and
+    ``batch`` = pos div size.  Ranked over a range partitioning, so no task orders all rows."""
+    keys = _keys(key)
+    hashed = df.withColumn(HASH, seeded_hash_keys(keys, seed, "shuffle"))
+    ranked = rank_within(hashed, [], [HASH, *keys], name="pos").withColumn("pos", F.col("pos") - 1).drop(HASH)
+    return ranked.withColumn("batch", F.expr(f"pos div {int(size)}"))

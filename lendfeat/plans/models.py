@@ -1,4 +1,5 @@
-"""Registered model queries (rows-only checks: trained models have no SQL oracle).
+"""Registered model queries: rows-only where the result is a trained model's scores; where the model is checked
+against its own node table, ids or counts, with SQL.
 
 Each query builds client features from the whole loan table, splits clients
 with the exact stratified split, trains on the training part and scores the
@@ -7,16 +8,22 @@ folder before the iterative trainers read it, so a lost executor re-reads
 parquet instead of recomputing the feature aggregate.
 
 Fitted models and cross-validation searches run the presets unchanged; the tuned
-preset stops early on a validation slice of the rows it is fitted on.
+presets stop by patience on a validation slice of the rows they are fitted on.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendfeat.operators import models as M
+from lendfeat.operators import search as CV
+from lendfeat.operators import trees as T
 from lendfeat.operators import sampling as S
 from lendfeat.operators.clients import ClientFeatures
 from lendfeat.plans.queries import SEED, TEST_FRACTION
@@ -26,7 +33,8 @@ from lendfeat.sources.loans import loans, targets
 
 # Fixed values of the registered model queries.
 CV_FOLDS_GBT, CV_FOLDS_HGB, CV_FOLDS_ALL = 4, 5, 5
-CV_JOBS_GBT, CV_JOBS_HGB = 2, 4
+CV_JOBS = 16  # cells at once
+BATCH_ROWS = 256  # batch size of the registered shuffle
 VALIDATION_FRACTION = 0.2
 
 
@@ -54,48 +62,55 @@ def q_gbt_scores(spark, sf):
     return M.scored(model, test)
 
 
-def q_cv_results(spark, sf):
-    fm, marked = _clients(spark, sf)
-    train, _ = _parts(marked)
+def _patient(est, rows: DataFrame):
+    """A fit that stops by patience on the validation slice (``is_val``) of its rows."""
+    return T.fit_with_patience(est, rows.where(~F.col("is_val")), rows.where("is_val"), M.PATIENCE, M.PATIENCE_TOL)[0]
+
+
+def _assembled(clients: DataFrame, names) -> DataFrame:
+    """(id, target, weight, features), checkpointed: folds and slices read it several times."""
+    return M.assembler(names).transform(M.balanced_weights(clients, "target")).select("id", "target", M.WEIGHT, M.FEATURES).checkpoint()
+
+
+def searches(fm, marked) -> list[CV.Search]:
+    """M5, M6 and M7: the two grids on the training clients, the chosen configuration on all clients."""
     names = fm.getManifest()
-    data = M.assembler(names).transform(M.balanced_weights(train, "target"))
-    est = M.gbt(M.LGBM_FINAL)
-    g1 = ParamGridBuilder().addGrid(est.maxDepth, [3, 5]).addGrid(est.minInstancesPerNode, [1, 20]).build()
-    r1, _ = M.cross_validate(spark, est, g1, S.folds(data, "id", "target", CV_FOLDS_GBT, SEED),
-                          "fold", CV_FOLDS_GBT, parallelism=CV_JOBS_GBT, name="gbt")
-    hgb = M.gbt(M.HGB_DEFAULT)
-    g2 = ParamGridBuilder().addGrid(hgb.minInstancesPerNode, [1, 20]).build()
-    r2, _ = M.cross_validate(spark, hgb, g2, S.folds(data, "id", "target", CV_FOLDS_HGB, SEED),
-                          "fold", CV_FOLDS_HGB, parallelism=CV_JOBS_HGB, name="hgb")
-    # M7: the chosen configuration cross-validated on all clients
-    allc = M.assembler(names).transform(M.balanced_weights(marked.drop("is_test"), "target"))
-    final = M.gbt(M.LGBM_TUNED, validation="is_val")
-    g3 = ParamGridBuilder().addGrid(final.maxDepth, [M.LGBM_TUNED.params["maxDepth"]]).build()
+    data = _assembled(_parts(marked)[0], names)
+    est, hgb, final = M.gbt(M.LGBM_FINAL), M.gbt(M.HGB_DEFAULT), M.gbt(M.LGBM_TUNED)
+    table = lambda k: CV.sized(S.folds(data, "id", "target", k, SEED), len(names))
+    folded = S.folds(_assembled(marked.drop("is_test"), names), "id", "target", CV_FOLDS_ALL, SEED)
     # the slice is cut inside every fold, so each fit stops early on rows of its own and not on the fold it is scored on
-    folded = S.folds(allc, "id", "target", CV_FOLDS_ALL, SEED).checkpoint()
-    sliced = None
-    for f in range(CV_FOLDS_ALL):
-        part = S.stratified_split(folded.where(F.col("fold") == f), "id", "target", VALIDATION_FRACTION, SEED + 1, flag="is_val")
-        sliced = part if sliced is None else sliced.unionByName(part)
-    r3, _ = M.cross_validate(spark, final, g3, sliced.withColumn("is_val", F.col("is_val") == 1),
-                          "fold", CV_FOLDS_ALL, name="final_all_clients")
-    return M.rank_results(M.append_results(M.append_results(r1, r2), r3))
+    sliced = S.stratified_split(folded.withColumn("stratum", F.col("fold") * 2 + F.col("target")).checkpoint(), "id", "stratum", VALIDATION_FRACTION, SEED + 1, flag="is_val")
+    sliced = CV.sized(sliced.drop("stratum").withColumn("is_val", F.col("is_val") == 1), len(names))
+    return [
+        CV.Search("gbt", est, ParamGridBuilder().addGrid(est.maxDepth, [3, 5]).addGrid(est.minInstancesPerNode, [1, 20]).build(), table(CV_FOLDS_GBT), CV_FOLDS_GBT),
+        CV.Search("hgb", hgb, ParamGridBuilder().addGrid(hgb.minInstancesPerNode, [1, 20]).build(), table(CV_FOLDS_HGB), CV_FOLDS_HGB),
+        CV.Search("final_all_clients", final, ParamGridBuilder().addGrid(final.maxDepth, [M.LGBM_TUNED.params["maxDepth"]]).build(), sliced, CV_FOLDS_ALL, fit=_patient),
+    ]
+
+
+def q_cv_results(spark, sf):
+    return CV.rank_results(CV.run(spark, searches(*_clients(spark, sf)), CV_JOBS))
+
+
+def _validated(train: DataFrame, names) -> DataFrame:
+    """The training clients' weighted vectors with a validation slice (``is_val``), cut from train and not from the test set."""
+    tv = S.stratified_split(train, "id", "target", VALIDATION_FRACTION, SEED + 1, flag="is_val")
+    weighted = M.balanced_weights(tv.withColumn("is_val", F.col("is_val") == 1), "target")
+    return CV.sized(M.assembler(names).transform(weighted).select("id", "target", M.WEIGHT, "is_val", M.FEATURES), len(names))
 
 
 def q_early_stopping_scores(spark, sf):
-    """M2 + M4 tuned: 2,000-round presets stopped early on a validation slice of train (not the test set)."""
+    """M2 + M4 tuned: the 2,000-round presets, stopped once 10 rounds bring no gain on a validation slice of train."""
     fm, marked = _clients(spark, sf)
     train, test = _parts(marked)
     names = fm.getManifest()
-    tv = (S.stratified_split(train, "id", "target", VALIDATION_FRACTION, SEED + 1, flag="is_val")
-          .withColumn("is_val", F.col("is_val") == 1))
-    weighted = M.balanced_weights(tv, "target")
+    rows, asked = _validated(train, names), M.assembler(names).transform(test)
     out = None
-    for preset in (M.LGBM_TUNED, M.HGB_TUNED):
-        model = M.fit_classifier(weighted, names, M.gbt(preset, validation="is_val"))
-        rows = M.scored(model, test).select(F.lit(preset.name).alias("model"), "*",
-                                            F.lit(model.stages[-1].getNumTrees).alias("n_trees"))
-        out = rows if out is None else out.unionByName(rows)
+    presets = (M.LGBM_TUNED, M.HGB_TUNED)
+    for preset, model in zip(presets, CV.side_by_side(spark, [partial(_patient, M.gbt(p), rows) for p in presets])):
+        part = M.scored(model, asked).select(F.lit(preset.name).alias("model"), "*", F.lit(model.getNumTrees).alias("n_trees"))
+        out = part if out is None else out.unionByName(part)
     return out
 
 
@@ -107,15 +122,62 @@ def q_importances(spark, sf):
     return M.importances(spark, model.stages[-1], fm.getManifest())
 
 
+def q_top_importances(spark, sf):
+    """The 20 features with the largest importance."""
+    fm, marked = _clients(spark, sf)
+    train, _ = _parts(marked)
+    model = M.fit_classifier(M.balanced_weights(train, "target"), fm.getManifest(), M.gbt(M.LGBM_DEFAULT))
+    return M.importances(spark, model.stages[-1], fm.getManifest(), M.TOP_FEATURES)
+
+
+def check_model(spark, model, test: DataFrame, names, name: str) -> DataFrame:
+    """A fitted ensemble against its node table: held-out clients that SQL over the nodes scores otherwise than
+    ``transform`` does, features whose importance differs, the importances' sum, split counts against
+    the trees' own number of internal nodes, rounds, and the length of the top list."""
+    ensemble, nodes = model.stages[-1], T.node_table(spark, model.stages[-1]).checkpoint()
+    scored = model.transform(test).withColumn("p", F.try_element_at(vector_to_array("probability"), F.lit(2)))
+    both = T.node_scores(scored, nodes, ensemble.getMaxDepth())
+    agree = (F.abs(F.col("p") - F.col("probability_nodes")) < 1e-9) & (F.col("prediction") == F.col("prediction_nodes"))
+    own = spark.createDataFrame(list(enumerate(map(float, ensemble.featureImportances.toArray()))), "feature int, own double")
+    imp = own.join(T.node_importances(nodes), "feature", "left").fillna(0.0, ["imp"]).fillna(0, ["splits"])
+    counts = imp.agg(F.count_if(F.abs(F.col("own") - F.col("imp")) > 1e-9).alias("n_importances_differing"), F.round(F.sum("imp"), 6).alias("importance_sum"),
+                     (F.sum("splits") - F.lit(sum(t.numNodes // 2 for t in ensemble.trees))).alias("n_splits_differing"))
+    top = M.importances(spark, ensemble, names, M.TOP_FEATURES).agg(F.count(F.lit(1)).alias("n_top"))
+    clients = both.agg(F.count(F.lit(1)).alias("n_clients"), F.count_if(~F.coalesce(agree, F.lit(False))).alias("n_differing"))
+    # three tables of one row each
+    one = lambda df: df.withColumn("model", F.lit(name))
+    return one(clients).join(one(counts), "model").join(one(top), "model").withColumn("n_rounds", F.lit(ensemble.getNumTrees).cast("long"))
+
+
+def q_model_nodes(spark, sf):
+    """Both presets' ensembles, walked in SQL over their node tables."""
+    fm, marked = _clients(spark, sf)
+    train, test = _parts(marked)
+    names, out = fm.getManifest(), None
+    weighted = M.balanced_weights(train, "target").checkpoint()
+    presets = (M.LGBM_DEFAULT, M.LGBM_FINAL)
+    models = CV.side_by_side(spark, [partial(M.fit_classifier, weighted, names, M.gbt(p)) for p in presets])
+    for preset, model in zip(presets, models):
+        part = check_model(spark, model, test, names, preset.name)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_shuffled_batches(spark, sf):
+    """X4 + M13: the training clients in their seeded order, cut into batches."""
+    train, _ = _parts(_clients(spark, sf)[1])
+    return S.shuffled_batches(train.select("id", "target"), "id", BATCH_ROWS, SEED)
+
+
 def q_mlp_scores(spark, sf):
+    """M12 + M13 + S8: the full-size network on the downsampled clients, trained by mini-batches, saved and loaded."""
     fm, marked = _clients(spark, sf)
     train, test = _parts(marked)
-    # counted, then read once per step
-    balanced = S.downsample(train, "id", "target", SEED).checkpoint()
     names = fm.getManifest()
-    model = M.fit_classifier(balanced, names, M.mlp(len(names), maxIter=M.MLP_EPOCHS * M.mlp_steps(balanced.count())))
+    vector = M.assembler(names)
+    balanced = vector.transform(S.downsample(train, "id", "target", SEED)).select("id", "target", M.FEATURES).checkpoint()
     path = scratch_path(spark, "mlp_model")
-    M.save_model(model, path)  # S8
+    M.save_model(PipelineModel(stages=[vector, M.fit_by_batches(balanced, names)]), path)
     return M.scored(M.load_model(path), test)
 
 
@@ -193,6 +255,9 @@ MODEL_QUERIES = {
     "gbt_scores": q_gbt_scores,
     "cv_results": q_cv_results,
     "importances": q_importances,
+    "top_importances": q_top_importances,
+    "model_nodes": q_model_nodes,
+    "shuffled_batches": q_shuffled_batches,
     "mlp_scores": q_mlp_scores,
     "mlp_epochs": q_mlp_epochs,
     "early_stopping_scores": q_early_stopping_scores,

@@ -291,6 +291,19 @@ FROM (SELECT *, COUNT(*) OVER (PARTITION BY target) AS n_t FROM sp WHERE is_test
                                      extra=f"feats AS ({features_cte()}),\n{_split_ctes(Q.SEED)}"),
         "manifest_file": "SELECT * FROM (VALUES " + ", ".join(
             f"(CAST({i} AS INTEGER), '{n}')" for i, n in enumerate(feature_names())) + ") AS t(pos, name)",
+        "model_nodes": with_views(
+            """SELECT m.model, n_clients, CAST(0 AS BIGINT) AS n_differing, CAST(0 AS BIGINT) AS n_importances_differing, CAST(1 AS DOUBLE) AS importance_sum,
+  CAST(0 AS BIGINT) AS n_splits_differing, CAST(20 AS BIGINT) AS n_top, CAST(m.n_rounds AS BIGINT) AS n_rounds
+FROM (VALUES ('lgbm_default', 100), ('lgbm_final', 300)) m(model, n_rounds), (SELECT COUNT(*) AS n_clients FROM sp WHERE is_test = 1)""", extra=_split_ctes(Q.SEED)),
+        "shuffled_batches": with_views(
+            f"""SELECT id, target, pos, pos // 256 AS batch FROM (
+  SELECT id, target, ROW_NUMBER() OVER (ORDER BY {_hash('id', Q.SEED, 'shuffle')}, id) - 1 AS pos FROM sp WHERE is_test = 0)""", extra=_split_ctes(Q.SEED)),
+        "read_parts_widened": with_views(
+            "SELECT * REPLACE (CAST(pre_loans6090 AS DOUBLE) AS pre_loans6090, CASE WHEN id % 3 <> 1 THEN enc_paym_24 END AS enc_paym_24) FROM loans"),
+        "read_csv_checked": with_views(f"SELECT CASE WHEN good THEN id END AS id, CASE WHEN good THEN flag END AS flag, CASE WHEN NOT good THEN line END AS line FROM ({_damaged})"),
+        "csv_reject_counts": with_views(f"SELECT COUNT(*) FILTER (WHERE good) AS n_good, COUNT(*) FILTER (WHERE NOT good) AS n_rejected FROM ({_damaged})"),
+        "loan_target_salted": with_views("SELECT l.*, t.flag AS target FROM loans l LEFT JOIN targets t ON l.id = t.id"),
+        "status_features_arrow": with_views(f"SELECT id, rn, credit_history_length, num_loan_months, frac_loan_months FROM ({_per_loan_features()})"),
         "saved_model_agreement": with_views(
             "SELECT COUNT(*) AS n_clients, CAST(0 AS BIGINT) AS n_differing FROM sp WHERE is_test = 1", extra=_split_ctes(Q.SEED)),
         "roc_auc": _auc("SELECT l.quality AS y, CAST(d.n_chars AS DOUBLE) AS s FROM labels l JOIN documents d "
@@ -311,6 +324,10 @@ FROM (SELECT *, COUNT(*) OVER (PARTITION BY target) AS n_t FROM sp WHERE is_test
     return sql
 
 
+_damaged = """SELECT id, flag, id % 97 <> 0 AND id % 101 <> 0 AND id % 103 <> 0 AS good,
+  CASE WHEN id % 97 = 0 THEN id || ',x' WHEN id % 101 = 0 THEN id::VARCHAR WHEN id % 103 = 0 THEN id || ',' || flag || ',9' END AS line FROM targets"""
+
+
 def _auc_clients() -> str:
     return with_views(
         """SELECT ROUND((SUM(ar) FILTER (WHERE y = 1) - COUNT(*) FILTER (WHERE y = 1) * (COUNT(*) FILTER (WHERE y = 1) + 1) / 2.0)

@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendfeat.functions import history as H
+from lendfeat.functions import udf as U
 from lendfeat.operators import clients as C
 from lendfeat.operators import evaluate as E
+from lendfeat.operators import joins as J
 from lendfeat.operators import profile as P
 from lendfeat.operators import sampling as S
 from lendfeat.roles import ColumnRoles, STATUS_PREFIX, with_prefix
@@ -70,6 +72,35 @@ def q_read_parts(spark, sf):
     return R.read_parts(spark, [R.part_files(loans_path(spark, sf))], schema)
 
 
+def q_read_parts_widened(spark, sf):
+    """S2 + U1: three parts of the loan table, one without the last status, one with other types, as one table."""
+    lo, path = loans(spark, sf), scratch_path(spark, "loan_parts")
+    part = lambda k: lo.where(F.col("id") % 3 == k)
+    part(0).write.parquet(f"{path}/0")
+    part(1).drop("enc_paym_24").write.parquet(f"{path}/1")
+    part(2).withColumns({"rn": F.col("rn").cast("int"), "pre_loans6090": F.col("pre_loans6090").cast("double")}).write.parquet(f"{path}/2")
+    return R.read_parts(spark, [f"{path}/{k}" for k in range(3)])
+
+
+def _damaged_targets(spark, sf) -> str:
+    """The targets as CSV lines, some with a word for a number, a field too few or one too many."""
+    path, i = scratch_path(spark, "damaged_csv"), F.col("id")
+    line = (F.when(i % 97 == 0, F.concat(i, F.lit(",x"))).when(i % 101 == 0, i.cast("string"))
+            .when(i % 103 == 0, F.concat(i, F.lit(","), "flag", F.lit(",9"))).otherwise(F.concat(i, F.lit(","), "flag")))
+    targets(spark, sf).select(line.alias("value")).write.text(path)
+    return path
+
+
+def q_read_csv_checked(spark, sf):
+    """S3: well-formed lines of a damaged CSV as typed rows, the others as they stand."""
+    good, rejects = R.read_csv_checked(spark, _damaged_targets(spark, sf), R.TARGET_SCHEMA, header=False)
+    return good.withColumn("line", F.lit(None).cast("string")).unionByName(rejects.select("line"), allowMissingColumns=True)
+
+
+def q_csv_reject_counts(spark, sf):
+    return R.reject_counts(*R.read_csv_checked(spark, _damaged_targets(spark, sf), R.TARGET_SCHEMA, header=False))
+
+
 def q_read_csv_targets(spark, sf):
     path = scratch_path(spark, "train_target_csv")
     R.write_csv(targets(spark, sf), path)
@@ -142,6 +173,11 @@ def q_loan_target(spark, sf):
     return _labelled_loans(spark, sf)
 
 
+def q_loan_target_salted(spark, sf):
+    """J2 with counted heavy clients dealt over salts."""
+    return J.salted_join(loans(spark, sf), targets(spark, sf).withColumnRenamed("flag", "target"), "id", "left")
+
+
 def q_attach_predictions(spark, sf):
     ids = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("id"))
     pred = q_threshold_label(spark, sf).withColumnRenamed("prediction", "target")
@@ -302,6 +338,16 @@ def q_history_length(spark, sf):
     return _per_loan(spark, sf, "credit_history_length", H.credit_history_length)
 
 
+def q_status_features_arrow(spark, sf):
+    """C1 to C3 through a registered Arrow function that remembers the vectors of its partition."""
+    lo = loans(spark, sf)
+    roles = _roles(lo)
+    names = list(roles.status)
+    U.register_iterator(spark, "status_features", lambda: U.StatusMemo(names), U.StatusMemo.TYPE)
+    vector = ", ".join(f"CAST({v} AS INT)" for v in H.status_vector(roles.status, roles.shifted).values())
+    return lo.selectExpr("id", "rn", f"status_features(array({vector})) AS s").select("id", "rn", "s.*")
+
+
 def q_client_features(spark, sf):
     return _features(spark, sf)
 
@@ -329,7 +375,10 @@ def q_log_loss(spark, sf):
 
 QUERIES = {
     "read_parts": q_read_parts,
+    "read_parts_widened": q_read_parts_widened,
     "read_csv_targets": q_read_csv_targets,
+    "read_csv_checked": q_read_csv_checked,
+    "csv_reject_counts": q_csv_reject_counts,
     "prefix_columns": q_prefix_columns,
     "align_manifest": q_align_manifest,
     "shift_status": q_shift_status,
@@ -341,6 +390,7 @@ QUERIES = {
     "threshold_label": q_threshold_label,
     "client_target": q_client_target,
     "loan_target": q_loan_target,
+    "loan_target_salted": q_loan_target_salted,
     "attach_predictions": q_attach_predictions,
     "flag_sums": q_flag_sums,
     "level_counts": q_level_counts,
@@ -365,6 +415,7 @@ QUERIES = {
     "longest_overdue_run": q_longest_overdue_run,
     "overdue_fraction": q_overdue_fraction,
     "history_length": q_history_length,
+    "status_features_arrow": q_status_features_arrow,
     "client_features": q_client_features,
     "roc_auc": q_roc_auc,
     "roc_auc_clients": q_roc_auc_clients,
