@@ -243,3 +243,71 @@ def test_disclosing_terms_of_rare_entities_and_far_words(spark):
     found, _ = pii.find(spark.createDataFrame(rows, "doc_id long, text string"))
     got = {r["doc_id"]: {s["value"] for s in r["term"]} for r in found.collect()}
     assert all(got[i] == {"Kwibble", "write", "to"} for i in range(3)) and not any(got[i] for i in (10, 100))
+
+
+def test_disclosure_counts_equal_brute_force(spark):
+    """Protected values and their parts, distinct texts, n(e), n(t), n(t, e), and the smoothed score of every pair."""
+    import math
+    import random
+
+    from lendfeat.llm import pii
+
+    rng = random.Random(4)
+    words = [f"w{i}x" for i in range(60)]  # a digit before a number would belong to it
+    values = ["ann.lee@a.example", "bob@a.example", "ann@b.example", "10.1.2.3", "10.1.2.9", "+1 456 555 2186", "4111 1111 1111 1111"]
+    texts = []
+    for i in range(120):
+        own = rng.sample(words, rng.randint(3, 12))
+        for v in rng.sample(values, rng.choice([0, 0, 0, 1, 2])):
+            own += [f"{v} k{values.index(v)}k"]
+        rng.shuffle(own)
+        texts.append(" ".join(own))
+    texts += texts[:30] + [None, ""]  # exact copies count once
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    parts = {"ann.lee@a.example": ["domain a.example", "name ann", "name lee"], "bob@a.example": ["domain a.example", "name bob"], "ann@b.example": ["domain b.example", "name ann"],
+             "10.1.2.3": ["net 10.1.2"], "10.1.2.9": ["net 10.1.2"], "+1 456 555 2186": ["phone 145655"], "4111 1111 1111 1111": ["card 411111"]}
+    distinct = {t for t in texts if t is not None}
+    entities, terms, both = {}, {}, {}
+    for t in distinct:
+        held = [v for v in values if v in t]
+        held = {*held, *(p for v in held for p in parts[v])}
+        bare = t
+        for v in values:
+            bare = bare.replace(v, " ")
+        for w in set(t.split()) if not held else set(bare.split()):
+            if held:
+                for e in held:
+                    both[w, e] = both.get((w, e), 0) + 1
+        for e in held:
+            entities[e] = entities.get(e, 0) + 1
+        for w in set(re.findall(r"\w+", t)):
+            terms[w] = terms.get(w, 0) + 1
+    want = {}
+    for (w, e), n in both.items():
+        pe = entities[e] / len(distinct)
+        p = (n + 2 * pe) / (terms[w] + 2)
+        if p >= 0.5:
+            want[w] = max(want.get(w, -9), math.log2(p / pe))
+    _, got = pii.find(df)
+    found = {(r["term"], round(r["bits"], 9)) for r in got.collect()}
+    assert found == {(w, round(b, 9)) for w, b in want.items()} and len(found) > 5
+
+
+def test_spans_of_very_many_matches(spark):
+    import time
+
+    from lendfeat.llm import pii
+
+    text = " ".join(f"é u{i}@x{i}.example" for i in range(5000))
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.time()
+    r = pii.base_spans(rows).select(pii.listed(["email"]).alias("s")).first()
+    assert r["s"] == ",".join(f"email:{m.start()}:{m.end()}" for m in re.finditer(_REFERENCE["email"], text)) and time.time() - began < 30
+
+
+def test_labels_beside_clashing_columns(spark, odd):
+    from lendfeat.llm import toxicity as X
+
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int")
+    clash = odd.withColumn("toxic", F.lit(7)).withColumn("label", F.lit("x"))
+    assert {(r["doc_id"], r["toxic"]) for r in X.labelled(clash, labels).collect()} == {(1, 0), (2, 1)}
