@@ -9,7 +9,8 @@ decides.  N-grams are byte n-grams of lower-cased words with a blank at either e
 Defined results: null text or text without a letter gives ``und`` and score 0.  Letters
 of which no n-gram is known give the most frequent learned language and score 0; ties go
 to the more frequent language, then by name.  No labelled rows: every text is ``und``.
-Extra columns, repeated rows and texts of any length pass through unchanged.
+Extra columns, repeated rows and texts of any length pass through unchanged; columns named lang_pred,
+score, margin or _judged are replaced.
 """
 
 from __future__ import annotations

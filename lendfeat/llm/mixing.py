@@ -11,12 +11,13 @@ words; a target stops at twice its source's words and the excess is reshared by
 That is the level L with sum(min(2 S, L w)) = total, which is the largest of the levels
 obtained by assuming the first k sources (by 2 S / w) full.
 
-DataFrame and SQL functions only.  Offsets and ranks come from sums over small slices, so a
-hot source is never ordered in one task.
+DataFrame and SQL functions only.  Offsets and ranks come from sums over small buckets, so a
+hot source is never ordered in one task.  A text's place is a hash of key, text and seed, so a key that many
+texts share is spread too; equal rows are counted and laid as one.
 
 Defined results: a null source is a source of its own, null and wordless texts have size 0
 and are never taken, repeated rows are taken each by itself, an empty table gives no rows.
-Extra columns are not read.  The shuffle is a hash of key and seed: reruns agree.
+Extra columns are not read.  Nothing depends on partitions or the order of rows: reruns agree.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendfeat.llm._store import settle
+from lendfeat.llm._store import expand, large, settle
 
 BLOCK = 256
-BUCKETS, SLICES, RUN = 4096, 16, 1 << 16
+BUCKETS, RUN = 1 << 16, 1 << 16
 GRID = 1 << 10
 POINTS = 1 << 31
 GOLDEN = 1327217885  # the golden ratio's fraction of POINTS, odd
@@ -75,23 +76,26 @@ def schedule(plan: DataFrame, block: int = BLOCK) -> DataFrame:
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 7, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(documents, pieces): a row per document with size, source_size, target and taken, and the
     schedule's pieces (slot, source_no, offset of the text in its source, round, start, length)."""
+    # equal rows are one group with its count until their offsets are known, so that order depends on content alone
     rows = docs.select(
         F.col(key).alias("doc_id"),
         F.col(source).alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(F.col(key), F.lit(seed)).alias("hash"),
-        (F.spark_partition_id() % SLICES).alias("slice"),
+        F.xxhash64(F.col(key), F.col(text), F.lit(seed)).alias("hash"),
     )
+    rows = rows.groupBy("doc_id", "source", "size", "hash").agg(F.count("*").alias("n"))
     rows = settle(rows.withColumn("bucket", F.pmod("hash", F.lit(BUCKETS)).cast("int")), "mix-rows")
-    plan = settle(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"))), "mix-targets")
+    spread = large(rows, "n")
+    plan = settle(targets(rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))), "mix-targets")
 
     rows = rows.join(plan.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    small = ["source_no", "bucket", "slice"]
-    sums = rows.groupBy(*small).agg(F.sum("size").alias("n"))
-    sums = sums.withColumn("before", F.coalesce(F.sum("n").over(_before(["source_no"], ["bucket", "slice"])), F.lit(0))).drop("n")
-    inner = F.coalesce(F.sum("size").over(_before(small, ["hash", "doc_id", "size"])), F.lit(0))
+    small = ["source_no", "bucket"]
+    sums = rows.groupBy(*small).agg(F.sum(F.col("size") * F.col("n")).alias("sum"))
+    sums = sums.withColumn("before", F.coalesce(F.sum("sum").over(_before(["source_no"], ["bucket"])), F.lit(0))).drop("sum")
+    inner = F.coalesce(F.sum(F.col("size") * F.col("n")).over(_before(small, ["hash", "doc_id", "size"])), F.lit(0))
     laid = rows.withColumn("inner", inner).join(sums, small).withColumn("offset", F.col("before") + F.col("inner"))
-    laid = settle(laid.select("doc_id", "source_no", "size", "source_size", "target", "offset"), "mix-laid")
+    laid = expand(laid.select("doc_id", "source_no", "size", "source_size", "target", "offset", "n"), "n", "copy", spread).withColumn("offset", F.col("offset") + F.col("copy") * F.col("size"))
+    laid = settle(laid.drop("n", "copy"), "mix-laid")
 
     rounds = laid.where("size > 0").withColumn("round", F.explode(F.array(F.lit(0), F.lit(1))))
     rounds = rounds.withColumn("lo", F.expr("offset + round * source_size")).withColumn("hi", F.least(F.expr("lo + size"), F.floor("target")))

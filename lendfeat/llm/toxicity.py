@@ -22,7 +22,8 @@ word reach the driver and each task that scores.  All words that weren't counted
 
 Defined results: null and empty texts are scored like a text that says nothing (the
 curve at zero difference).  Without rows of both classes every score is 0.  Extra
-columns and repeated rows pass through; texts are read whole.
+columns and repeated rows pass through ``score`` (columns named whole, expression, score, predicted or _judged
+are replaced), ``labelled`` keeps key and text alone; texts are read whole.
 """
 
 from __future__ import annotations
@@ -123,8 +124,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> np.ndarray:
 FILTER_SLOTS = 1 << 20
 
 
-def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """docs with the columns of labels.  Only texts whose key falls in a labelled slot are shuffled."""
+def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Key and text of docs with the columns of labels.  Only texts whose key falls in a labelled slot are shuffled."""
+    docs = docs.select(key, text)
     slot = F.pmod(F.xxhash64(key), F.lit(FILTER_SLOTS)).cast("int").alias("_slot")
     wanted = labels.select(slot).distinct()  # at most FILTER_SLOTS rows
     likely = docs.withColumn("_slot", slot).join(F.broadcast(wanted), "_slot", "left_semi").drop("_slot")

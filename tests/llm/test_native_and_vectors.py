@@ -76,6 +76,28 @@ def test_mixing_meets_targets(spark, odd, none):
     assert mixing.mix(none)[0].count() == 0
 
 
+def test_places_and_mix_depend_on_rows_alone(spark):
+    """The same rows in other partitions and another order, with a hot key, equal rows and null keys."""
+    from lendfeat.llm import mixing, sharding
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "source")
+    hot = docs.where("doc_id < 3000").select(F.lit(7).cast("long").alias("doc_id"), "text", "source")
+    equal = spark.range(9000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("the same words").alias("text"), F.lit("src1").alias("source"))
+    docs = docs.unionByName(hot).unionByName(equal).unionByName(docs.where("doc_id < 50").withColumn("doc_id", F.lit(None).cast("long"))).checkpoint()
+    order = lambda df: sorted(map(tuple, df.collect()), key=str)
+    mixed, placed = [], []
+    for n in (1, 7, 40):
+        other = docs.repartition(n) if n > 1 else docs.coalesce(1).orderBy(F.desc("doc_id"))
+        mixed.append(order(mixing.mix(other)[0].select("doc_id", "size", "taken")))
+        placed.append(order(sharding.assign(other, 24)))
+    assert mixed[0] == mixed[1] == mixed[2] and placed[0] == placed[1] == placed[2]
+    slots = {}
+    for r in placed[0]:
+        slots.setdefault(r[3], []).append(r[4])
+    assert len(placed[0]) == docs.count() and all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(5)
@@ -133,13 +155,52 @@ def test_pipeline_stages(spark, odd, none):
     packed = P.STAGES[-1][1](spark, mixed, SF)
     tokenizer = Tokenizer.from_file(tokenizer_path())
     assert packed.agg(F.sum("length")).first()[0] == sum(len(tokenizer.encode(r["text"], add_special_tokens=False).ids) + 1 for r in mixed.collect())
-    for table in (odd.select("doc_id", "text", "lang", "source", "n_chars", "slot"), none):
+    for table in (odd, none):
         for name, stage in P.STAGES:
             table = stage(spark, table, SF)
         assert "sequence_id" in table.columns and table.count() >= 0
 
 
+def test_pipeline_decides_by_row(spark):
+    """Repeated and missing ids, equal rows, and columns that carry the stages' own names."""
+    import corpus_pipeline as P
+
+    from lendfeat.llm import mixing
+
+    base = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").where("length(text) between 400 and 900").orderBy("doc_id").limit(40).collect()]
+    texts = list(dict.fromkeys(base))[:24]
+    near = texts[0] + " and one more"
+    rows = [(5, t, "en", "a") for t in texts[:8]] + [(None, t, "en", "b") for t in texts[8:16]] + [(i, t, "en", "b") for i, t in enumerate(texts[16:], 100)]
+    rows += [(5, near, "en", "a"), (None, texts[8], "en", "b"), (7, texts[1], "en", "a"), (100, texts[16], "en", "b")]
+    names = ["rows", "_id", "_size", "_copies", "_stays", "__row_key", "__rows", "class", "taken"]
+    docs = spark.createDataFrame([(*r, *[1] * len(names)) for r in rows], "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` int" for n in names)).checkpoint()
+    single = P.drop_near_copies(spark, docs, SF).checkpoint()
+    # one of each text: the smallest id stays, a missing one last
+    got = sorted((r["text"], r["doc_id"]) for r in single.collect())
+    first = {}
+    for d, t, *_ in rows:
+        t = texts[0] if t == near else t
+        first.setdefault(t, []).append(d)
+    want = {t: min(x for x in d if x is not None) if any(x is not None for x in d) else None for t, d in first.items()}
+    assert single.columns == docs.columns and len(got) == len(want)
+    assert {(texts[0] if t == near else t): d for t, d in got} == want
+    mixed = P.mix_sources(spark, single, SF)
+    taken, _ = mixing.mix(single)
+    size = {r["text"]: r["n"] for r in single.select("text", F.regexp_count("text", F.lit(mixing.WORD)).alias("n")).collect()}
+    times = {}
+    for r in mixed.collect():
+        times[r["text"]] = times.get(r["text"], 0) + 1
+    assert mixed.columns == docs.columns
+    assert abs(sum(n * size[t] for t, n in times.items()) - taken.agg(F.sum("taken")).first()[0]) <= sum(size.values()) / 2
+    assert all(n <= 2 for n in times.values())
+    equal = single.limit(1).join(spark.range(6).drop("id"))
+    assert P.drop_near_copies(spark, equal, SF).count() == 1
+    sized = equal.select("text").first()["text"]
+    emitted, took = P.mix_sources(spark, equal, SF).count(), mixing.mix(equal)[0].agg(F.sum("taken")).first()[0]
+    assert abs(emitted * size[sized] - took) <= 3 * size[sized]
+
+
 def test_registration_without_the_subpackage():
     code = "import sys; sys.modules['lendfeat.llm'] = None; import __spark_entry__ as e; print(any(k.startswith('op') or k == 'pipeline' for k in [*e.queries(), *e.oracle_sql()]), 'client_features' in e.queries(), len(e.oracle_sql()))"
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=__file__.rsplit("/tests/", 1)[0])
-    assert out.stdout.split() == ["False", "True", "46"], out.stderr
+    assert out.stdout.split() == ["False", "True", "53"], out.stderr
