@@ -2,9 +2,10 @@
 
 Each loan carries its monthly payment statuses as sibling integer columns
 ``enc_paym_0 .. enc_paym_N``.  The features below read them left to right.
-Every feature is one Spark SQL expression (``F.expr``), so it stays inside
-whole-stage codegen with no Python per row, and building it costs one call
-into the JVM instead of one per month and operator.
+Every feature is one Spark SQL expression (``F.expr``): no Python per row, and
+building it costs one call into the JVM instead of one per month and operator.
+The sums and ``greatest`` compile; the fold of ``longest_overdue_run`` is a
+higher-order function, which Spark interprets.
 
 A status vector is an ordered ``{column name: SQL text}`` map; plain column
 lists are accepted too.  NULL handling follows the pandas reading of the data:
