@@ -80,6 +80,43 @@ def test_jaccard_splits_a_large_bucket(spark, monkeypatch):
     assert {(r["class_id"], r["links"]) for r in got} == {(0, 39)}
 
 
+def test_forest_shortens_prefixes_until_the_recall():
+    from lendfeat.llm import jaccard_join as J
+
+    levels = J.LONGEST - J.shortest_length(0.8) + 1
+    miss = lambda depths: np.prod(1 - 0.8 ** depths.astype(float))
+    alone = J.shorten(np.ones((1, J.TREES, levels)), 0.8)
+    assert (alone == J.shortest_length(0.8)).all()  # no neighbours: all steps are free
+    sizes = np.ones((2, J.TREES, levels))
+    sizes[0, :8] = [900, 90, 9, 3][-levels:]  # crowded branches in half the trees
+    sizes[1] = np.array([4000, 300, 20, 2][-levels:]) * np.arange(1, J.TREES + 1)[:, None]
+    deep = J.shorten(sizes, 0.8)
+    assert (deep[0, :8] > deep[0, 8:]).all() and len(set(deep[1].tolist())) > 1 and deep[1].max() > deep[1].min()
+    assert all(1 - miss(d) >= J.RECALL for d in deep)
+    # one step back down anywhere that wasn't free falls below the recall or was the cheapest
+    full = np.full(J.TREES, J.LONGEST)
+    assert 1 - miss(full) < J.RECALL and (J.shorten(sizes, 0.8, 0.5)[1] == full).all()
+
+
+def test_forest_on_a_skewed_corpus(spark):
+    """Copies with few edits beside texts that share a passage: every planted pair is found, no other one."""
+    from lendfeat.llm import jaccard_join as J
+
+    rng = np.random.default_rng(9)
+    word = [f"w{i}" for i in range(4000)]
+    texts, passage = [], list(rng.choice(word, 60))
+    for _ in range(60):
+        base = list(rng.choice(word, 150))
+        texts += [" ".join(base), " ".join([*base[:-3], "x", "y"]), " ".join(["z", *base[1:]])]
+    hot = list(rng.choice(word, 150))
+    texts += [" ".join([*hot[: i % 100 + 20], f"h{i}", *hot[i % 100 + 20 :]]) for i in range(150)]
+    texts += [" ".join([*rng.choice(word, 60), *passage, *rng.choice(word, 60)]) for _ in range(150)]
+    near, label = _brute(texts)
+    got = {r["doc_id"]: r for r in J.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert sum(r["links"] for r in got.values()) >= 0.9997 * len(near) and all(got[i]["links"] <= sum(a == i for a, _ in near) for i in (0, 200, 400))
+    assert {i: r["class_id"] for i, r in got.items()} == dict(enumerate(label))
+
+
 def test_components_of_a_path(spark):
     from lendfeat.llm import jaccard_join as J
 
