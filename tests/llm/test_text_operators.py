@@ -200,6 +200,84 @@ def test_license_spans_and_repeats(spark, odd, none):
     assert S.align(list("abcxdef"), list("zabcdyef")) == [(0, 1), (1, 2), (2, 3), (4, 4), (5, 6), (6, 7)]
 
 
+def test_license_near_misses(spark):
+    from lendfeat.llm import license_scan as S
+
+    want = {
+        "GNU General Public License, version 2": None,
+        "This work is licensed under the GNU General Public License, version 2": "GPL-2.0",
+        "This work is licensed under the GNU Lesser General Public License, version 3": "LGPL-3.0",
+        "This work is licensed under the GNU General Public License, version 4": None,
+        "Released under the BSD License": "BSD",
+        "Released under the MIT License": "MIT",
+        "Licensed under CC BY 4.0": "CC-BY-4.0",
+        "Licensed under CC BY-NC 4.0": "CC-BY-NC-4.0",
+        "Licensed under CC BY-NC-ND 4.0": "CC-BY-NC-ND-4.0",
+        "Licensed under CC BY-NC 3.0": None,
+        "Licensed under the Apache License, Version 2.1": None,
+        "Licensed under the Apache License, Version 2.0": "Apache-2.0",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License": "CC-BY-4.0 long",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License": "CC-BY-ND-4.0 long",
+        S.TEXTS["MIT whole"].text: "MIT whole",
+        S.TEXTS["GPL-2.0 header"].text: "GPL-2.0 header",
+        S.TEXTS["BSD-3-Clause text"].text: "BSD-3-Clause text",
+    }
+    rows = [(i, f"Words before. {t}. Words behind.") for i, t in enumerate(want)]
+    rows += [(None, "x " * 50_000 + "Released under the MIT License"), (None, "Released under the MIT License")]
+    got = S.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["license"] for r in got if r["doc_id"] is not None} == {i: n for i, n in enumerate(want.values()) if n}
+    assert sorted(r["license"] for r in got if r["doc_id"] is None) == ["MIT", "MIT"] and len(got) == 2 + sum(n is not None for n in want.values())
+
+
+def test_license_scan_equals_every_window(spark):
+    """Alignment against the longest common subsequence, hits against all windows of a text tried one by one."""
+    from lendfeat.llm import license_scan as S
+
+    rng = np.random.default_rng(4)
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            old, row = row, [0]
+            for j, y in enumerate(b):
+                row.append(old[j] + 1 if x == y else max(old[j + 1], row[j]))
+        return row[-1]
+    for letters in (8, 40):
+        for _ in range(60):
+            a, b = (rng.integers(0, letters, 20).tolist() for _ in range(2))
+            pairs = S.align(a, b)
+            assert all(a[i] == b[j] for i, j in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:])) and len(pairs) <= longest(a, b)
+    for _ in range(60):  # without repeated words the alignment is the longest
+        a, b = (rng.permutation(30)[:20].tolist() for _ in range(2))
+        assert len(S.align(a, b)) >= longest(a, b) - (a[0] == b[0]) - (a[-1] == b[-1])
+
+    words = "licensed under the mit license version 2 apache 0 work this is a cc by nc 4 gnu general public 3 other".split()
+    texts = [" ".join(rng.choice(words, 40)) for _ in range(150)]
+    texts += [f"{' '.join(rng.choice(words, 5))} {t.text} {' '.join(rng.choice(words, 5))} {t.text}" for t in S.TEMPLATES.values()]
+    want = set()
+    for d, text in enumerate(texts):
+        spans = [m.span() for m in re.finditer(r"[0-9a-z_\x80-\U0010ffff]+", text.lower())]
+        own, hits = [text.lower()[a:b] for a, b in spans], []
+        for name, t in S.TEMPLATES.items():
+            m = re.findall(r"[0-9a-z_\x80-\U0010ffff]+", t.text.lower())
+            telling = [re.findall(r"[0-9a-z_\x80-\U0010ffff]+", p.lower()) for p in t.telling]
+            need, p = int(np.ceil(S.COVERAGE * len(m))), 0
+            while p < len(own):
+                pairs = S.align(m, own[p : p + int(S.STRETCH * len(m)) + 1])
+                at = dict(pairs)
+                tells = all(any(m[i : i + len(f)] == f and all(i + k in at and at[i + k] == at[i] + k for k in range(len(f))) for i in at) for f in telling)
+                if len(pairs) >= need and pairs[0][1] == 0 and tells:
+                    hits.append((len(pairs), len(pairs) / len(m), name, p, p + pairs[-1][1]))
+                    p += pairs[-1][1]
+                p += 1
+        kept = []
+        for h in sorted(hits, key=lambda h: (-h[0], -h[1], h[2], h[3])):
+            if all(h[4] < k[3] or h[3] > k[4] for k in kept):
+                kept.append(h)
+        want |= {(d, h[2], spans[h[3]][0], spans[h[4]][1]) for h in kept}
+    got = S.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["license"], r["start"], r["end"]) for r in got} == want and len(got) == len(want) and len(want) > 2 * len(S.TEMPLATES) - 5
+
+
 def test_packing_round_trip(spark, docs, odd, none):
     from tokenizers import Tokenizer
 
