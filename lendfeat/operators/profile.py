@@ -208,8 +208,9 @@ def pair_statistics(cells: DataFrame) -> DataFrame:
         # each row / column margin counted once across its cells
         F.sum(1.0 / (F.col("R") * F.col("nr"))).alias("inv_r"),
         F.sum(1.0 / (F.col("C") * F.col("nc"))).alias("inv_c"),
-        F.countDistinct("vx").alias("r"),
-        F.countDistinct("vy").alias("k"))
+        # and so its rows and columns, without a distinct count (which would double the cells twice)
+        F.round(F.sum(1.0 / F.col("nr"))).cast("bigint").alias("r"),
+        F.round(F.sum(1.0 / F.col("nc"))).cast("bigint").alias("k"))
     n, r, k = F.col("N").cast("double"), F.col("r"), F.col("k")
     plain = F.greatest(n * (F.col("q") - 1.0), F.lit(0.0))
     # In a 2x2 table |O - E| is the same in every cell, so the corrected sum
