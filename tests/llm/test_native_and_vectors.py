@@ -135,6 +135,37 @@ def test_searches_equal_brute_force(spark, vectors, monkeypatch, small):
     assert ann_blocks.search(empty, F.col("vec_id") % 20 == 0).count() == topk_uniform.search(empty, F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("lists", [1, 2, 5, 99])
+def test_uniform_threshold_collects_few_and_loses_none(spark, monkeypatch, lists):
+    from lendfeat.llm import _tiles, topk_uniform
+
+    monkeypatch.setattr(_tiles, "CANDIDATES", 500)
+    monkeypatch.setattr(_tiles, "QUERIES", 16)
+    rng = np.random.default_rng(8)
+    x = rng.integers(-200, 200, (1500, 16)).astype(float)
+    x[500:1000] = x[500]  # a third of the rows are copies, queries among them
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x / 256)], "vec_id long, embedding array<double>")
+    found = topk_uniform.phases(df, F.col("vec_id") % 50 == 0, k=5, lists=lists)
+    got = found.result.collect()
+    for q in range(0, 1500, 50):
+        assert [(r["vec_id"], r["score"]) for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == _best(x, q, 5), q
+    cells = 30 * 1001 * min(lists, 16)
+    n = found.collected.count()
+    assert 0 < n < (0.15 if lists < 3 else 0.5) * cells
+    if lists > 1:  # every total that reaches the cutoff is collected, and only resolved as far as it lacks partial scores
+        assert found.collected.groupBy("query_id", "id").count().where(f"count < {min(lists, 16)}").count() > 0
+
+
+def test_uniform_threshold_beyond_doubles(spark):
+    from lendfeat.llm import topk_uniform
+
+    x = [[2**20 + 0.0, 1.0], [2**20 + 1 / 256, 1.0], [2**20 + 2 / 256, 1.0], [-(2.0**20), 1.0]]
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+    whole = [[int(256 * c) for c in v] for v in x]
+    got = {(r["query_id"], r["vec_id"]): r["score"] for r in topk_uniform.search(df, F.col("vec_id") == 2, k=3).collect()}
+    assert got == {(2, i): sum(a * b for a, b in zip(whole[2], whole[i])) for i in (0, 1, 3)}
+
+
 def test_pipeline_stages(spark, odd, none):
     import corpus_pipeline as P
     from tokenizers import Tokenizer
