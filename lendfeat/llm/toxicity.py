@@ -17,13 +17,16 @@ its most telling expression of 1, 2 or 3 words; a logistic curve fitted on label
 held back from the counts turns the comparison into a score.
 
 Counts cover every labelled row handed in but the curve's.  They are a table with a row for
-every word, by its 64-bit hash, so the model grows with the labelled vocabulary: 12 bytes a
-word reach the driver and each task that scores.  All words that weren't counted are alike.
+every word, by its 64-bit hash, so the model grows with the labelled vocabulary.  All words
+that weren't counted are alike.  Up to HELD_WORDS words (counted first; 12 bytes each) are sent
+to the tasks that score; of a larger vocabulary nothing is: the words of every distinct text are
+joined to the table, salted for frequent words, and each text is scored from the rows it found.
+Both ways give the same scores.
 
 Defined results: null and empty texts are scored like a text that says nothing (the
 curve at zero difference).  Without rows of both classes every score is 0.  Extra
-columns and repeated rows pass through ``score`` (columns named whole, expression, score, predicted or _judged
-are replaced), ``labelled`` keeps key and text alone; texts are read whole.
+columns and repeated rows pass through ``score`` (columns named whole, expression, score, predicted, _judged,
+_text or _found are replaced), ``labelled`` keeps key and text alone; texts are read whole.
 """
 
 from __future__ import annotations
@@ -38,13 +41,17 @@ from pyspark.sql import functions as F
 
 from lendfeat.llm import _text as T
 from lendfeat.llm._store import settle
+from lendfeat.operators.joins import salted_join
 
 #: Discounts where the counts of counts give none.
 FALLBACK = (0.5, 1.0, 1.5)
 EXPRESSIONS = (1, 2, 3)
+#: Words that are held by a task at most.
+HELD_WORDS = 1 << 24
 #: Fit bound: rows the logistic curve is fitted on, chosen by hash.
 MAX_CURVE_ROWS = 20_000
 _START = np.uint64(0x51ED270B27220AEB)
+_NONE = (np.zeros(0, np.uint64), np.zeros(0, np.float32))
 
 
 def _pairs(batches):
@@ -64,19 +71,21 @@ def _pairs(batches):
 @dataclass
 class KneserNey:
     """words: hashes of the counted words, ascending; evidence[i]: log-likelihood of words[i], toxic less ordinary;
-    unknown: that of any other word; curve: weights of the logistic curve."""
+    unknown: that of any other word; curve: weights of the logistic curve; table: (word, evidence) where
+they are too many to be held, then words and evidence are empty."""
 
     words: np.ndarray
     evidence: np.ndarray
     unknown: float
     curve: np.ndarray
+    table: DataFrame | None = None
 
     def of(self, h: np.ndarray) -> np.ndarray:
         """Evidence of each word."""
         if not len(self.words):
             return np.full(len(h), self.unknown)
         at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        return np.where(self.words[at] == h, self.evidence[at], self.unknown)
+        return np.where(self.words[at] == h, self.evidence[at].astype(float), self.unknown)
 
     def differences(self, texts: pa.Array) -> np.ndarray:
         """Per text: mean difference over its words, and the largest sum over an expression."""
@@ -164,10 +173,12 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Kneser
     held_back = [1 - x for x in counts.agg(*[F.sum(k) for k in kept]).first()]
     shared = (F.col("k0") + F.col("k1") + 1) / (sums["k0"] + sums["k1"] + sums["n"] + 1)
     ordinary, toxic = (kept[c] + held_back[c] * shared for c in (0, 1))
-    known = counts.select("word", F.log(toxic / ordinary).cast("float").alias("evidence")).toArrow()
-    words, evidence = known["word"].to_numpy().view(np.uint64), known["evidence"].to_numpy()
-    order = np.argsort(words)
-    model = KneserNey(words[order], evidence[order], float(np.log(held_back[1] / held_back[0])), np.zeros(0))
+    known = counts.select("word", F.log(toxic / ordinary).cast("float").alias("evidence"))
+    model = KneserNey(np.zeros(0, np.uint64), np.zeros(0, np.float32), float(np.log(held_back[1] / held_back[0])), np.zeros(0))
+    if sums["n"] > HELD_WORDS:
+        model.table = settle(known, "toxicity-evidence")
+    else:
+        model.words, model.evidence = _ascending(known.toArrow())
 
     curve = rows.where(part == 0)
     rate = min(1.0, MAX_CURVE_ROWS / max(1, curve.count()))
@@ -178,8 +189,56 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Kneser
     return model
 
 
-def compare(docs: DataFrame, model: KneserNey, text: str = "text") -> DataFrame:
-    """docs with whole, expression (see KneserNey.differences) and score (0 to 1)."""
+def _ascending(found: pa.Table | pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+    column = found.field if isinstance(found, pa.StructArray) else found.column
+    words, evidence = column("word").to_numpy().view(np.uint64), column("evidence").to_numpy()
+    order = np.argsort(words)
+    return words[order], evidence[order]
+
+
+def _vocabulary(batches):
+    """The distinct words of each text."""
+    for batch in batches:
+        for at, data, ends in T.chunks(batch["text"]):
+            h, _, _, end = T.words(data, ends)
+            text = np.repeat(np.arange(len(end)), np.diff(end, prepend=0))
+            order = np.lexsort((h, text))
+            h, text = h[order], text[order]
+            first = np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1]))[: len(h)]
+            yield pa.RecordBatch.from_arrays([batch["_text"].take(pa.array(text[first] + at)), pa.array(h[first].view(np.int64))], ["_text", "word"])
+
+
+def _looked_up(docs: DataFrame, model: KneserNey, text: str) -> DataFrame:
+    """docs with _judged, from a join of each distinct text's words with the model's table."""
+    unknown, curve = model.unknown, model.curve
+
+    @F.arrow_udf("struct<whole double, expression double, score double>")
+    def judge(texts: pa.Array, found: pa.Array) -> pa.Array:
+        d = np.zeros((len(texts), 2))
+        for i in range(len(texts)):  # a text's own rows are a small model
+            own = found[i].values if found[i].is_valid else None
+            words = _NONE if own is None else _ascending(own)
+            d[i] = KneserNey(*words, unknown, curve).differences(texts.slice(i, 1))[0]
+        p = KneserNey(*_NONE, unknown, curve).scores(d)
+        return pa.StructArray.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(p)], ["whole", "expression", "score"])
+
+    key = F.sha2(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8"), 256)
+    each = docs.select(key.alias("_text"), F.col(text).alias("text")).where("text is not null").dropDuplicates(["_text"])
+    each = settle(each, "toxicity-texts")
+    words = settle(each.mapInArrow(_vocabulary, "_text string, word long"), "toxicity-vocabulary")
+    rows = salted_join(words, model.table, "word", "inner").groupBy("_text").agg(F.collect_list(F.struct("word", "evidence")).alias("_found"))
+    judged = each.join(rows, "_text", "left").select("_text", judge("text", "_found").alias("_judged"))
+    silent = docs.sparkSession.range(1).select(F.lit("").alias("text"), F.lit(None).cast("array<struct<word: long, evidence: float>>").alias("_found"))
+    # null texts, which may be many, are judged without the join
+    nothing = silent.select(judge("text", "_found").alias("s")).first()["s"]
+    alike = F.struct(*[F.lit(float(nothing[c])).alias(c) for c in ("whole", "expression", "score")])
+    said = docs.where(F.col(text).isNotNull()).withColumn("_text", key).drop("_judged", "_found")
+    said = said.join(settle(judged, "toxicity-judged"), "_text").drop("_text")
+    return said.unionByName(docs.where(F.col(text).isNull()).drop("_text", "_found").withColumn("_judged", alike))
+
+
+def _held(docs: DataFrame, model: KneserNey, text: str) -> DataFrame:
+    """docs with _judged, from the words that every task holds."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<whole double, expression double, score double>")
@@ -187,7 +246,13 @@ def compare(docs: DataFrame, model: KneserNey, text: str = "text") -> DataFrame:
         d = held.value.differences(texts)
         return pa.StructArray.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(held.value.scores(d))], ["whole", "expression", "score"])
 
-    return docs.withColumn("_judged", judge(F.col(text))).withColumns({c: F.col(f"_judged.{c}") for c in ("whole", "expression", "score")}).drop("_judged")
+    return docs.withColumn("_judged", judge(F.col(text)))
+
+
+def compare(docs: DataFrame, model: KneserNey, text: str = "text") -> DataFrame:
+    """docs with whole, expression (see KneserNey.differences) and score (0 to 1)."""
+    judged = (_held if model.table is None else _looked_up)(docs, model, text)
+    return judged.withColumns({c: F.col(f"_judged.{c}") for c in ("whole", "expression", "score")}).drop("_judged")
 
 
 def score(docs: DataFrame, model: KneserNey, text: str = "text") -> DataFrame:

@@ -145,6 +145,30 @@ def test_toxicity_finds_planted_words(spark, odd, none):
     assert X.score(odd.drop("score"), X.fit(none.withColumn("toxic", F.lit(1)))).where("score = 0 and predicted = 0").count() == 11
 
 
+def test_toxicity_scores_alike_with_and_without_held_words(spark, odd, none, monkeypatch):
+    from lendfeat.llm import toxicity as X
+
+    rng = np.random.default_rng(6)
+    words = [f"{'bad' if j < 40 else 'w'}{j}" for j in range(400)]
+    rows = []
+    for i in range(600):
+        toxic = int(i % 3 == 0)
+        # half of the ordinary texts are equal, one word is in every text
+        picked = np.arange(100, 130) if not toxic and i % 2 else rng.choice(np.arange(0 if toxic else 40, 400), 30)
+        rows.append((i, " ".join(["the", *(words[j] for j in picked)]), toxic))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    clash = odd.withColumn("_text", F.lit("x")).withColumn("_found", F.lit(1))
+    held = X.fit(df)
+    monkeypatch.setattr(X, "HELD_WORDS", 10)
+    joined = X.fit(df)
+    assert held.table is None and len(held.words) and joined.table is not None and not len(joined.words)
+    assert np.allclose(held.curve, joined.curve) and held.unknown == joined.unknown
+    for docs in (df, clash, none):
+        want, got = (sorted((repr(r["doc_id"]), r["predicted"], round(r["score"], 9)) for r in X.score(docs, m).collect()) for m in (held, joined))
+        assert want == got and len(got) == docs.count()
+    assert set(X.score(clash, joined).columns) == set(clash.columns) - {"_text", "_found"} | {"whole", "expression", "score", "predicted"}
+
+
 def test_toxicity_counts_predecessors_of_hot_words_exactly(spark):
     from lendfeat.llm import toxicity as X
 
