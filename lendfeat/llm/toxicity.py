@@ -55,7 +55,7 @@ _NONE = (np.zeros(0, np.uint64), np.zeros(0, np.float32))
 
 
 def _pairs(batches):
-    """Per chunk and class: distinct pairs of neighbours, with the second word."""
+    """Per chunk and class: distinct pairs of neighbours (the class in the lowest bit), with the second word."""
     for batch in batches:
         for label in (0, 1):
             for _, data, ends in T.chunks(batch.filter(pc.equal(batch["label"], label))["text"]):
@@ -64,8 +64,9 @@ def _pairs(batches):
                 before[1:] = h[:-1]
                 first = T.begins(end)
                 before[first[first < end]] = _START
-                pair, at = np.unique(T.mix(before * np.uint64(0x9E3779B97F4A7C15) + h), return_index=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), label, np.int32)), pa.array(pair.view(np.int64)), pa.array(h[at].view(np.int64))], ["label", "pair", "word"])
+                pair, at = np.unique(T.mix(before * np.uint64(0x9E3779B97F4A7C15) + h) >> np.uint64(1), return_index=True)
+                pair = (pair << np.uint64(1)) | np.uint64(label)
+                yield pa.RecordBatch.from_arrays([pa.array(pair.view(np.int64)), pa.array(h[at].view(np.int64))], ["pair", "word"])
 
 
 @dataclass
@@ -157,12 +158,13 @@ def _kept(k: Column, d: tuple[float, float, float]) -> Column:
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "toxic") -> KneserNey:
-    """Counts from nine tenths of the rows (by hash of the text), curve from the rest."""
+    """Counts from nine tenths of the rows (by hash of the text), curve from the rest.
+
+    ``labelled`` is read twice, once for either part."""
     rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label")).where("text is not null and label in (0, 1)")
-    rows = settle(rows, "toxicity-rows")
     part = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(10))
-    pairs = rows.where(part != 0).mapInArrow(_pairs, "label int, pair long, word long").distinct()
-    by_label = [F.count_if(F.col("label") == c).alias(f"k{c}") for c in (0, 1)]
+    pairs = rows.where(part != 0).mapInArrow(_pairs, "pair long, word long").distinct()
+    by_label = [F.count_if(F.col("pair").bitwiseAND(1) == c).alias(f"k{c}") for c in (0, 1)]
     counts = settle(pairs.groupBy("word").agg(*by_label), "toxicity-counts")
     of_count = [F.count_if(F.col(f"k{c}") == n).alias(f"n{c}{n}") for c in (0, 1) for n in (1, 2, 3, 4)]
     sums = counts.agg(F.sum("k0").alias("k0"), F.sum("k1").alias("k1"), F.count("*").alias("n"), *of_count).first()
@@ -180,7 +182,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Kneser
     else:
         model.words, model.evidence = _ascending(known.toArrow())
 
-    curve = rows.where(part == 0)
+    curve = settle(rows.where(part == 0), "toxicity-curve")
     rate = min(1.0, MAX_CURVE_ROWS / max(1, curve.count()))
     sample = compare(curve.where(F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1_000_003)) < rate * 1_000_003), model).select("label", "whole", "expression").toArrow()
     x, y = np.column_stack([sample["whole"].to_numpy(), sample["expression"].to_numpy()]), sample["label"].to_numpy().astype(float)
